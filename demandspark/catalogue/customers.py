@@ -33,7 +33,7 @@ def _(spark, sf):
         from cd join params_cd using (CountryCode, Currency, BranchId)"""),
 )
 def _(spark, sf):
-    cd = customer_daily(spark, sf)
+    cd = staged(customer_daily(spark, sf), "history")
     return rounded(apply_scaling(cd, staged(scaling_params(cd), "params")), 6).select(*KEYS, DATE, DEMAND)
 
 
@@ -51,7 +51,7 @@ GRID = f"""select {K}, last as EffectiveDate, cast(last + cast(j as integer) as
         from cd window w as (partition by {K} order by EffectiveDate rows between 27 preceding and current row)"""),
 )
 def _(spark, sf):
-    cd = customer_daily(spark, sf)
+    cd = staged(customer_daily(spark, sf), "history")
     scored = backtest(cd, TrailingQuantile(SPEC), latest_origin(cd))
     return rounded(scored, 4).select(*KEYS, DATE, TARGET_DATE, *Q)
 
@@ -65,7 +65,7 @@ def _(spark, sf):
         group by {GK}, g.EffectiveDate, g.ForecastDate""", g=GRID),
 )
 def _(spark, sf):
-    cd = customer_daily(spark, sf)
+    cd = staged(customer_daily(spark, sf), "history")
     scored = backtest(cd, WeekdayQuantile(SPEC), latest_origin(cd))
     return rounded(scored, 4).select(*KEYS, DATE, TARGET_DATE, *Q)
 

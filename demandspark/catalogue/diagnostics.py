@@ -14,7 +14,8 @@ from demandspark.operators.diagnose import (
 )
 from demandspark.operators.prepare import series_template
 from demandspark.plans.diagnosis import full_diagnosis, section_counts
-from demandspark.spec import DATE, DEMAND, FORECAST_STEP
+from demandspark.spec import DATE, FORECAST_STEP
+from demandspark.staging import staged
 
 BOUNDS = f"""select {K}, q1, q3, q1 - 1.5 * (q3 - q1) as lower, q3 + 1.5 * (q3 - q1) as upper from (
     select {K}, quantile_cont(Demand, 0.25) as q1, quantile_cont(Demand, 0.75) as q3 from dd group by {K})"""
@@ -138,7 +139,7 @@ def _(spark, sf):
         on w.ProductId = h.ProductId and w.BranchId = h.BranchId and w.Currency = h.Currency"""),
 )
 def _(spark, sf):
-    dd = demand_daily(spark, sf)
+    dd = staged(demand_daily(spark, sf), "history")
     known = series_template(dd, ["ProductId", "BranchId", "Currency"])
     wanted = known.union(known.withColumn("Currency", F.lit("EUR")).distinct())
     return valid_combinations(wanted, dd, SPEC)
@@ -159,5 +160,6 @@ def _(spark, sf):
         b=BOUNDS.replace("dd", "ed"), o=OUTLIERS.replace("dd", "ed"), c=CONSISTENCY),
 )
 def _(spark, sf):
-    ed = events_daily(spark, sf)
-    return section_counts(full_diagnosis(ed, evaluation(spark, sf), series_template(ed), SPEC))
+    ed = staged(events_daily(spark, sf), "history")
+    forecasts = staged(evaluation(spark, sf), "evaluation")
+    return section_counts(full_diagnosis(ed, forecasts, series_template(ed), SPEC))

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from demandspark.forecasters import WeekdayQuantile, backtest
 from demandspark.operators.reshape import evaluation_table
 from demandspark.spec import (
-    BRANCH, COUNTRY, CURRENCY, DATE, DEMAND, PRODUCT, SERIES_KEYS, TARGET_DATE, ForecastSpec,
+    BRANCH, COUNTRY, CURRENCY, DATE, DEMAND, PRODUCT, SERIES_KEYS, ForecastSpec,
 )
+from demandspark.staging import staged
 
 SPEC = ForecastSpec()
 KEYS = list(SERIES_KEYS)
@@ -76,12 +77,13 @@ def customer_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def weekday_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weekday-quantile forecasts of the event series from every origin."""
-    return backtest(events_daily(spark, sf_dir), WeekdayQuantile(SPEC))
+    return backtest(staged(events_daily(spark, sf_dir), "history"), WeekdayQuantile(SPEC))
 
 
 def evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same forecasts by target date, beside actual demand."""
-    return evaluation_table(weekday_backtest(spark, sf_dir), events_daily(spark, sf_dir), SPEC)
+    history = staged(events_daily(spark, sf_dir), "history")
+    return evaluation_table(backtest(history, WeekdayQuantile(SPEC)), history, SPEC)
 
 
 # SQL bodies of the same tables, and of forecasts on them.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from demandspark.catalogue.fixtures import (
-    CTES, K, KEYS, SPEC, demand_daily, evaluation, events_daily, sql, weekday_backtest,
+    K, KEYS, SPEC, demand_daily, evaluation, events_daily, sql, weekday_backtest,
 )
 from demandspark.catalogue.registry import query, rounded
 from demandspark.forecasters import (
@@ -15,15 +15,16 @@ from demandspark.forecasters import (
 from demandspark.forecasters.iterative import point_forecast_column
 from demandspark.operators.evaluate import holdout_accuracy
 from demandspark.operators.grid import (
-    all_origins, latest_origin, origin_grid, request_grid, step_grid, with_forecast_day, with_horizon,
+    all_origins, latest_origin, origin_grid, step_grid, with_forecast_day, with_horizon,
 )
 from demandspark.operators.prepare import series_template, train_future_split
 from demandspark.operators.reshape import (
     forecast_band, forecast_long, history_with_forecasts, pivot_forecast, step_join,
 )
-from demandspark.plans.scaled import scaled_forecast
+from demandspark.plans.backtesting import train_and_backtest
 from demandspark.plans.logged import logged_forecast
-from demandspark.spec import DATE, DEMAND, FORECAST_DAY, FORECAST_STEP, TARGET_DATE, ForecastSpec
+from demandspark.plans.scaled import scaled_forecast
+from demandspark.spec import DATE, DEMAND, FORECAST_STEP, TARGET_DATE, ForecastSpec
 from demandspark.staging import staged, staging_path
 
 Q = SPEC.quantiles.names
@@ -40,7 +41,7 @@ def _(spark, sf):
 
 @query("model_reuse", WEEKDAY_FORECASTS)
 def _(spark, sf):
-    ed = events_daily(spark, sf)
+    ed = staged(events_daily(spark, sf), "history")
     model = WeekdayQuantile(SPEC)
     path = staging_path(spark, "model")
     model.fit(ed).write.parquet(path)
@@ -63,7 +64,7 @@ NAIVE = f"""select {GK}, g.EffectiveDate, g.ForecastDate, h.p10, h.p50, h.p90
     sql("ed ed_grid", f"select {K}, EffectiveDate, ForecastDate, {ROUND_Q} from n", r=RESIDUALS, s=NAIVE_STATES, n=NAIVE),
 )
 def _(spark, sf):
-    return rounded(backtest(events_daily(spark, sf), SeasonalNaive(SPEC)), 4)
+    return rounded(backtest(staged(events_daily(spark, sf), "history"), SeasonalNaive(SPEC)), 4)
 
 
 TRAILING_STATES = f"""select {K}, EffectiveDate, quantile_cont(Demand, 0.1) over w as p10,
@@ -78,7 +79,7 @@ TRAILING = f"""select {GK}, g.EffectiveDate, g.ForecastDate, h.p10, h.p50, h.p90
     sql("ed ed_grid", f"select {K}, EffectiveDate, ForecastDate, {ROUND_Q} from t", ts=TRAILING_STATES, t=TRAILING),
 )
 def _(spark, sf):
-    return rounded(backtest(events_daily(spark, sf), TrailingQuantile(SPEC)), 4)
+    return rounded(backtest(staged(events_daily(spark, sf), "history"), TrailingQuantile(SPEC)), 4)
 
 
 def _rmse(table: str, name: str) -> str:
@@ -98,7 +99,7 @@ CANDIDATES = [SeasonalNaive(SPEC), TrailingQuantile(SPEC), WeekdayQuantile(SPEC)
 
 @query("candidate_errors", sql("ed ed_grid wq", f"select {K}, candidate, round(rmse, 4) as rmse, n_scored from e", **ERRORS))
 def _(spark, sf):
-    return rounded(candidate_errors(events_daily(spark, sf), CANDIDATES), 4)
+    return rounded(candidate_errors(staged(events_daily(spark, sf), "history"), CANDIDATES), 4)
 
 
 @query(
@@ -107,7 +108,7 @@ def _(spark, sf):
         qualify row_number() over (partition by {K} order by rmse, candidate) = 1""", **ERRORS),
 )
 def _(spark, sf):
-    return rounded(select_candidate(candidate_errors(events_daily(spark, sf), CANDIDATES), SPEC), 4)
+    return rounded(select_candidate(candidate_errors(staged(events_daily(spark, sf), "history"), CANDIDATES), SPEC), 4)
 
 
 @query(
@@ -156,7 +157,7 @@ POINT_ORIGIN = "2024-01-20"
         and EffectiveDate = date '{POINT_ORIGIN}') group by {K}, EffectiveDate"""),
 )
 def _(spark, sf):
-    ed = events_daily(spark, sf)
+    ed = staged(events_daily(spark, sf), "history")
     wanted = series_template(ed)
     for key, value in POINT_KEYS.items():
         wanted = wanted.where(F.col(key) == value)
@@ -177,6 +178,16 @@ def _(spark, sf):
     return rounded(history_with_forecasts(events_daily(spark, sf), wide, SPEC), 4)
 
 
+@query(
+    "train_backtest",
+    sql("ed ed_grid wq fl", f"""select g.*, dayname(g.EffectiveDate) as DayOfWeekName, 'Zambia' as CountryName,
+        {', '.join(f'{q}_Day{d}' for q in Q for d in range(2, 11))}
+        from ed g left join wide h on {ON} and g.EffectiveDate = h.EffectiveDate""", wide=WIDE),
+)
+def _(spark, sf):
+    return rounded(train_and_backtest(events_daily(spark, sf), WeekdayQuantile(SPEC)), 4)
+
+
 @query(
     "history_with_long",
     sql("ed ed_grid wq fl", f"""select g.*, ForecastDate, {ROUND_Q}, ForecastDay
@@ -229,7 +240,7 @@ def _recursion(source: str, steps: int) -> dict[str, str]:
 
 
 def _train(spark, sf):
-    ed = events_daily(spark, sf)
+    ed = staged(events_daily(spark, sf), "history")
     return train_future_split(ed, 10)
 
 
@@ -287,7 +298,7 @@ Z90 = 1.2815515655446004
         join sm h on {ON}""", sm=SMOOTHED),
 )
 def _(spark, sf):
-    ed = events_daily(spark, sf)
+    ed = staged(events_daily(spark, sf), "history")
     scored = backtest(ed, ExponentialSmoothing(ALPHA, SPEC), latest_origin(ed))
     return rounded(scored, 3).select(*KEYS, DATE, TARGET_DATE, *Q)
 
@@ -297,7 +308,7 @@ def _(spark, sf):
     days = spark.createDataFrame(
         [("ZM", "2024-01-01", "New Year")], "CountryCode string, date string, holiday string"
     ).withColumn("date", F.col("date").cast("date"))
-    return rounded(backtest(events_daily(spark, sf), LagRegression(days, SPEC)), 4)
+    return rounded(backtest(staged(events_daily(spark, sf), "history"), LagRegression(days, SPEC)), 4)
 
 
 SCALED_STATES = f"""select {K}, EffectiveDate, quantile_cont(z, 0.1) over w as p10,

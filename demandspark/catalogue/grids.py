@@ -10,6 +10,7 @@ from demandspark.operators.grid import (
 )
 from demandspark.operators.prepare import series_template
 from demandspark.spec import DATE, DEMAND, TARGET_DATE, WEEKDAY
+from demandspark.staging import staged
 
 GRID = f"""select {K}, EffectiveDate, ForecastDate, cast(null as double) as Demand,
     dayname(ForecastDate) as DayOfWeekName from ed_grid"""
@@ -17,7 +18,7 @@ GRID = f"""select {K}, EffectiveDate, ForecastDate, cast(null as double) as Dema
 
 @query("request_grid_all", sql("ed ed_grid", GRID))
 def _(spark, sf):
-    ed = events_daily(spark, sf)
+    ed = staged(events_daily(spark, sf), "history")
     return request_grid(series_template(ed), all_origins(ed), SPEC).select(
         *KEYS, DATE, TARGET_DATE, DEMAND, WEEKDAY
     )
@@ -28,7 +29,7 @@ def _(spark, sf):
     sql("ed ed_grid", GRID + " where EffectiveDate = (select max(EffectiveDate) from ed)"),
 )
 def _(spark, sf):
-    ed = events_daily(spark, sf)
+    ed = staged(events_daily(spark, sf), "history")
     return request_grid(series_template(ed), latest_origin(ed), SPEC).select(
         *KEYS, DATE, TARGET_DATE, DEMAND, WEEKDAY
     )
@@ -40,7 +41,7 @@ def _(spark, sf):
         from dd join (select CountryCode, max(EffectiveDate) as last from dd group by 1) using (CountryCode)"""),
 )
 def _(spark, sf):
-    dd = demand_daily(spark, sf)
+    dd = staged(demand_daily(spark, sf), "history")
     return step_grid(series_template(dd), latest_origin(dd)).select(*KEYS, DATE, DEMAND)
 
 
@@ -55,7 +56,7 @@ DD_ORIGINS = f"""select {K}, EffectiveDate from (select distinct {K} from dd)
         and g.EffectiveDate >= h.EffectiveDate""", g=DD_ORIGINS),
 )
 def _(spark, sf):
-    dd = demand_daily(spark, sf)
+    dd = staged(demand_daily(spark, sf), "history")
     grid = origin_grid(series_template(dd), all_origins(dd))
     states = dd.withColumnRenamed(DEMAND, "State")
     return rounded(carry_forward(grid, states, KEYS, ["State"]), 4)
@@ -78,7 +79,7 @@ def _(spark, sf):
         and g.EffectiveDate >= h.EffectiveDate""", g=DD_ORIGINS, t=TRAILING),
 )
 def _(spark, sf):
-    dd = demand_daily(spark, sf)
+    dd = staged(demand_daily(spark, sf), "history")
     model = TrailingQuantile(SPEC)
     grid = origin_grid(series_template(dd), all_origins(dd))
     return rounded(model.predict(model.fit(dd), grid), 4)

@@ -32,7 +32,7 @@ def _(spark, sf):
         from dd join params_dd using (CountryCode, Currency, BranchId)"""),
 )
 def _(spark, sf):
-    dd = demand_daily(spark, sf)
+    dd = staged(demand_daily(spark, sf), "history")
     return rounded(apply_scaling(dd, staged(scaling_params(dd), "params")), 6).select(*KEYS, DATE, DEMAND)
 
 
@@ -43,7 +43,7 @@ def _(spark, sf):
         from dd join params_dd using (CountryCode, Currency, BranchId)"""),
 )
 def _(spark, sf):
-    dd = demand_daily(spark, sf)
+    dd = staged(demand_daily(spark, sf), "history")
     usd_only = staged(scaling_params(dd.where("Currency = 'USD'")), "params")
     return rounded(apply_scaling(dd, usd_only), 4).select(*KEYS, DATE, DEMAND)
 
@@ -98,7 +98,7 @@ def _(spark, sf):
         and h.Currency = t.Currency and h.BranchId = t.BranchId and h.Currency = 'USD')"""),
 )
 def _(spark, sf):
-    dd = demand_daily(spark, sf)
+    dd = staged(demand_daily(spark, sf), "history")
     old = scaling_params(dd.where("EffectiveDate < date'1997-06-01' and Currency = 'USD'"))
     return missing_groups(series_template(dd), old)
 
@@ -110,7 +110,7 @@ def _(spark, sf):
         and h.BranchId = t.BranchId and h.Currency = 'ZMW')"""),
 )
 def _(spark, sf):
-    dd = demand_daily(spark, sf)
+    dd = staged(demand_daily(spark, sf), "history")
     return unused_groups(scaling_params(dd), dd.where("Currency = 'ZMW'"))
 
 

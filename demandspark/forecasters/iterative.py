@@ -2,20 +2,60 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from demandspark.functions.columns import interpolated
 from demandspark.spec import COUNTRY, DATE, DEMAND, FORECAST_STEP, ForecastSpec
 from demandspark.staging import staged
 
 
+def _row_quantiles(ordered: np.ndarray, counts: np.ndarray, p: float) -> np.ndarray:
+    """Interpolated quantile of the first ``counts`` values of each ascending row."""
+    position = p * (counts - 1)
+    below = np.floor(position).astype(int)
+    above = np.ceil(position).astype(int)
+    rows = np.arange(len(ordered))
+    low, high = ordered[rows, below], ordered[rows, above]
+    return low + (high - low) * (position - below)
+
+
+def _recursion(spec: ForecastSpec):
+    """The recursion for a batch of series at a time: one row in per series, one out per step."""
+    q, width, n_steps = spec.quantiles, spec.trailing_rows, spec.iterative_steps
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            counts = batch["_tail"].map(len).to_numpy()
+            # Free places sort behind every value.
+            recent = np.full((len(batch), width), np.inf)
+            filled = np.arange(width) < counts[:, None]
+            recent[filled] = np.concatenate(batch["_tail"].to_numpy())
+            oldest = np.zeros(len(batch), dtype=int)
+            rows = np.arange(len(batch))
+            series = batch[[*spec.keys, "_last"]]
+            for step in range(1, n_steps + 1):
+                ordered = np.sort(recent, axis=1)
+                levels = {n: _row_quantiles(ordered, counts, p) for n, p in q.levels}
+                yield series.assign(_step=step, **levels)
+                full = counts == width
+                recent[rows, np.where(full, oldest, counts % width)] = levels[q.mid]
+                oldest = np.where(full, (oldest + 1) % width, oldest)
+                counts = np.minimum(counts + 1, width)
+
+    return run
+
+
 def iterative_forecast(train: DataFrame, spec: ForecastSpec = ForecastSpec()) -> DataFrame:
     """``iterative_steps`` daily forecasts per series, starting after the country's last date.
 
     A series enters with its last ``trailing_rows`` demands only - the ranked filter is
-    applied map-side as well, so a long series is cut before the shuffle - and the whole
-    recursion is one array fold inside the JVM: no job per step and no growing lineage.
+    applied map-side as well, so a long series is cut before the shuffle. The recursion
+    then runs over Arrow batches of series: no job per step and no growing lineage.
     """
     keys, q = list(spec.keys), spec.quantiles
     latest = staged(train.groupBy(COUNTRY).agg(F.max(DATE).alias("_last")), "last-dates")
@@ -27,33 +67,21 @@ def iterative_forecast(train: DataFrame, spec: ForecastSpec = ForecastSpec()) ->
         .groupBy(*keys)
         .agg(F.sort_array(F.collect_list(F.struct(DATE, DEMAND))).alias("_rows"))
         .select(*keys, F.transform("_rows", lambda r: r[DEMAND]).alias("_tail"))
+        .join(latest, COUNTRY)
+        .select(*keys, "_last", "_tail")
     )
-
-    step_type = "array<struct<" + ",".join(f"{n}:double" for n in q.names) + ">>"
-    start = F.struct(F.col("_tail").alias("tail"), F.array().cast(step_type).alias("steps"))
-
-    def advance(state, _):
-        ordered = F.array_sort(state["tail"])
-        step = F.struct(*[interpolated(ordered, p).alias(n) for n, p in q.levels])
-        tail = F.slice(
-            F.array_append(state["tail"], step[q.mid]),
-            F.greatest(F.lit(1), F.size(state["tail"]) + 2 - spec.trailing_rows),
-            spec.trailing_rows,
-        )
-        return F.struct(tail.alias("tail"), F.array_append(state["steps"], step).alias("steps"))
-
-    steps = F.aggregate(
-        F.sequence(F.lit(1), F.lit(spec.iterative_steps)), start, advance, lambda s: s["steps"]
+    schema = T.StructType(
+        [
+            *[tails.schema[c] for c in [*keys, "_last"]],
+            T.StructField("_step", T.IntegerType()),
+            *[T.StructField(n, T.DoubleType()) for n in q.names],
+        ]
     )
-    return (
-        tails.join(latest, COUNTRY)
-        .select(*keys, "_last", F.posexplode(steps).alias("_i", "_s"))
-        .select(
-            *keys,
-            F.date_add(F.col("_last"), (F.col("_i") + 1) * spec.freq_days).alias(DATE),
-            (F.col("_i") + 1).alias(FORECAST_STEP),
-            *[F.col(f"_s.{n}").alias(n) for n in q.names],
-        )
+    return tails.mapInPandas(_recursion(spec), schema).select(
+        *keys,
+        F.date_add(F.col("_last"), F.col("_step") * spec.freq_days).alias(DATE),
+        F.col("_step").alias(FORECAST_STEP),
+        *q.names,
     )
 
 

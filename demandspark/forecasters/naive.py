@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandspark.functions.columns import weekday_name
+from demandspark.functions.columns import interpolated, weekday_name
 from demandspark.operators.grid import carry_forward
 from demandspark.spec import DATE, DEMAND, TARGET_DATE, WEEKDAY, ForecastSpec
 
@@ -28,18 +28,18 @@ class SeasonalNaive:
         by_weekday = Window.partitionBy(*self.spec.keys, WEEKDAY).orderBy(DATE)
         recent = by_weekday.rowsBetween(-(self.spec.weekday_weeks - 1), Window.currentRow)
         residual = F.col(DEMAND) - F.lag(DEMAND).over(by_weekday)
-        band = F.percentile("_residual", F.array(*[F.lit(p) for p in q.probabilities])).over(recent)
+        misses = F.sort_array(F.collect_list("_residual").over(recent))
         level = F.last(DEMAND, ignorenulls=True).over(
             by_weekday.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         )
         shifted = [
-            (F.col("_level") if n == q.mid else F.col("_level") + F.col("_band")[i]).alias(n)
-            for i, n in enumerate(q.names)
+            (F.col("_level") if n == q.mid else F.col("_level") + interpolated(F.col("_misses"), p)).alias(n)
+            for n, p in q.levels
         ]
         return (
             history.select(*self.spec.keys, DATE, DEMAND, weekday_name(F.col(DATE)).alias(WEEKDAY))
             .withColumn("_residual", residual)
-            .withColumns({"_band": band, "_level": level})
+            .withColumns({"_misses": misses, "_level": level})
             .select(*self.spec.keys, WEEKDAY, DATE, *shifted)
         )
 

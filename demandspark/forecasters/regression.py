@@ -13,6 +13,7 @@ from demandspark.forecasters.weekday import weekday_slot
 from demandspark.functions.columns import weekday_name
 from demandspark.operators.prepare import flag_holidays
 from demandspark.spec import DATE, DEMAND, TARGET_DATE, ForecastSpec
+from demandspark.staging import staged
 
 # The weekdays with a dummy variable; the remaining one is the base.
 DUMMY_WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")
@@ -61,7 +62,7 @@ class LagRegression:
 
     def fit(self, history: DataFrame) -> DataFrame:
         keys, q = list(self.spec.keys), self.spec.quantiles
-        rows = self.training_rows(history)
+        rows = staged(self.training_rows(history), "training-rows")
         vectors = VectorAssembler(inputCols=self.features, outputCol="features").transform(rows)
         model = LinearRegression(solver="normal", regParam=1e-6).fit(vectors)
         weights = dict(zip(self.features, [float(c) for c in model.coefficients]))

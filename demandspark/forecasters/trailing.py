@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from demandspark.functions.columns import interpolated
 from demandspark.operators.grid import carry_forward
 from demandspark.spec import DATE, DEMAND, ForecastSpec
 
@@ -24,10 +25,10 @@ class TrailingQuantile:
             Window.partitionBy(*self.spec.keys).orderBy(DATE)
             .rowsBetween(-(self.spec.trailing_rows - 1), Window.currentRow)
         )
-        # At most trailing_rows values per frame: the built-in exact percentile is right here.
-        levels = F.percentile(DEMAND, F.array(*[F.lit(p) for p in q.probabilities])).over(rows)
-        return history.select(*self.spec.keys, DATE, levels.alias("_q")).select(
-            *self.spec.keys, DATE, *[F.col("_q")[i].alias(n) for i, n in enumerate(q.names)]
+        # At most trailing_rows values per frame, sorted once for all quantiles.
+        recent = F.sort_array(F.collect_list(DEMAND).over(rows))
+        return history.select(*self.spec.keys, DATE, recent.alias("_recent")).select(
+            *self.spec.keys, DATE, *[interpolated(F.col("_recent"), p).alias(n) for n, p in q.levels]
         )
 
     def predict(self, params: DataFrame, grid: DataFrame) -> DataFrame:

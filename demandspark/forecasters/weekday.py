@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from demandspark.functions.columns import interpolated
 from demandspark.spec import DATE, DEMAND, TARGET_DATE, ForecastSpec
 
 SLOT = "SlotDate"
@@ -35,14 +36,14 @@ class WeekdayQuantile:
         served = F.transform(
             F.sequence(F.lit(0), F.lit(weeks - 1)), lambda k: F.date_add(F.col(DATE), (k * 7).cast("int"))
         )
-        # At most weekday_weeks values per slot at daily grain.
-        levels = F.percentile(DEMAND, F.array(*[F.lit(p) for p in q.probabilities]))
+        # At most weekday_weeks values per slot at daily grain, sorted once for all quantiles.
+        values = F.sort_array(F.collect_list(DEMAND))
         return (
             history.select(*self.spec.keys, DEMAND, F.explode(served).alias(SLOT))
             .groupBy(*self.spec.keys, SLOT)
-            .agg(levels.alias("_q"))
+            .agg(values.alias("_values"))
             .select(
-                *self.spec.keys, SLOT, *[F.col("_q")[i].alias(n) for i, n in enumerate(q.names)]
+                *self.spec.keys, SLOT, *[interpolated(F.col("_values"), p).alias(n) for n, p in q.levels]
             )
         )
 

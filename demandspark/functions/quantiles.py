@@ -2,7 +2,8 @@
 
 Spark's ``percentile`` keeps every distinct value of a group in one task. That is fine
 for a series at daily grain (bounded by the calendar) but not for a currency, a branch
-or a whole table. ``exact_quantiles`` narrows the wanted order statistics instead:
+or a whole table. For such hot groups ``exact_quantiles`` narrows the wanted order
+statistics instead:
 
 1. count values per (group, coarse bucket), where the bucket is a monotone function of
    the value - combined map-side, so only counts are shuffled;
@@ -24,6 +25,8 @@ from pyspark.sql import functions as F
 
 from demandspark.staging import staged
 
+# Largest group left to the built-in percentile: some megabytes of distinct values.
+HOT_ROWS = 100_000
 _COARSE_PER_LOG_UNIT = 256
 _FINE_BUCKETS = 1024
 
@@ -71,26 +74,51 @@ def exact_quantiles(
     value: str,
     probabilities: Sequence[float],
     names: Sequence[str],
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One row per group with the named quantiles of the non-null values.
 
-    ``df`` is scanned three times, so pass a table or a ``staged`` frame if it is
-    expensive to derive. Groups without values give no row.
+    Group sizes are counted first. Groups of up to ``hot_rows`` values go to the built-in
+    ``percentile``; larger ones are narrowed. ``df`` is scanned two to five times, so pass
+    a table or a ``staged`` frame if it is expensive to derive.
     """
     keys = list(keys)
-    probabilities = [float(p) for p in probabilities]
+    parts = ["_all", *keys]
+    wanted = dict(zip(names, [float(p) for p in probabilities]))
     values = df.select(
         *keys, F.lit(0).alias("_all"), F.col(value).cast("double").alias("_x")
     ).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
-    parts = ["_all", *keys]
 
+    sizes = values.groupBy(*parts).agg(F.count("*").alias("_n"))
+    is_hot = F.col("_n") > hot_rows
+    found = sizes.agg(F.count_if(is_hot).alias("hot"), F.count_if(~is_hot).alias("small")).first()
+    if not found.hot:
+        return _builtin(values, parts, wanted).select(*keys, *names)
+    if not found.small:
+        return _narrowed(values, parts, wanted).select(*keys, *names)
+    # At most one hot group per ``hot_rows`` values.
+    hot = staged(sizes.where(is_hot).select(*parts), "hot-groups").alias("h")
+    on_hot = _same("v", "h", parts)
+    small = _builtin(values.alias("v").join(hot, on_hot, "left_anti"), parts, wanted)
+    large = _narrowed(values.alias("v").join(hot, on_hot, "left_semi"), parts, wanted)
+    return small.unionByName(large).select(*keys, *names)
+
+
+def _builtin(values: DataFrame, parts: list[str], wanted: dict[str, float]) -> DataFrame:
+    levels = F.percentile("_x", F.array(*[F.lit(p) for p in wanted.values()]))
+    return values.groupBy(*parts).agg(levels.alias("_q")).select(
+        *parts, *[F.col("_q")[i].alias(n) for i, n in enumerate(wanted)]
+    )
+
+
+def _narrowed(values: DataFrame, parts: list[str], wanted: dict[str, float]) -> DataFrame:
     coarse = (
         values.withColumn("_b1", _coarse_bucket(F.col("_x")))
         .groupBy(*parts, "_b1")
         .agg(F.count("*").alias("_n"), F.min("_x").alias("_low"), F.max("_x").alias("_high"))
     )
     group = Window.partitionBy(*parts)
-    positions = [F.lit(p) * (F.col("_total") - 1) for p in probabilities]
+    positions = [F.lit(p) * (F.col("_total") - 1) for p in wanted.values()]
     ranks = F.array_distinct(
         F.array(*[f(x).cast("long") for x in positions for f in (F.floor, F.ceil)])
     )
@@ -158,8 +186,8 @@ def exact_quantiles(
         F.map_from_entries(F.collect_set(F.struct("_rank", "_x"))).alias("_at")
     )
     result = []
-    for name, position in zip(names, positions):
+    for name, position in zip(wanted, positions):
         below = F.col("_at")[F.floor(position).cast("long")]
         above = F.col("_at")[F.ceil(position).cast("long")]
         result.append((below + (above - below) * (position - F.floor(position))).alias(name))
-    return by_rank.select(*keys, *result)
+    return by_rank.select(*parts, *result)

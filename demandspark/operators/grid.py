@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from demandspark.functions.columns import forecast_day, weekday_name
 from demandspark.spec import (
-    COUNTRY, DATE, DEMAND, FORECAST_DAY, SERIES_KEYS, TARGET_DATE, WEEKDAY, ForecastSpec,
+    COUNTRY, DATE, DEMAND, FORECAST_DAY, TARGET_DATE, WEEKDAY, ForecastSpec,
 )
 from demandspark.staging import spread, staged
 

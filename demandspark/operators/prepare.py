@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandspark.functions.columns import log_demand, to_day, to_number, weekday_name
-from demandspark.operators.validate import assert_dates, assert_no_nulls, require_columns
+from demandspark.operators.validate import assert_daily_grain, null_counts, require_columns
 from demandspark.spec import (
     COUNTRY, COUNTRY_NAME, COUNTRY_NAMES, DATE, DEMAND, SERIES_KEYS, WEEKDAY,
 )
@@ -53,13 +53,24 @@ def add_calendar(df: DataFrame, date: str = DATE, names: Mapping[str, str] = COU
     return df.withColumns(added)
 
 
-def prepare_demand(df: DataFrame, required: Sequence[str] | None = None) -> DataFrame:
-    """Checked and typed demand: required columns only, keys as text, dates as days."""
+def prepare_demand(df: DataFrame, required: Sequence[str] | None = None, daily: bool = False) -> DataFrame:
+    """Checked and typed demand: required columns only, keys as text, dates as days.
+
+    One job counts missing cells and unreadable dates together. ``daily`` also checks
+    for one row per series and day, which the window operators rely on.
+    """
     required = list(required or [*SERIES_KEYS, DATE, DEMAND])
-    df = keys_as_string(project(df, required))
-    assert_no_nulls(df, required)
-    df = df.withColumns({DATE: to_day(F.col(DATE)), DEMAND: to_number(F.col(DEMAND))})
-    return assert_dates(df)
+    raw = project(df, required)
+    typed = keys_as_string(raw).withColumns({DATE: to_day(F.col(DATE)), DEMAND: to_number(F.col(DEMAND))})
+    unreadable = raw.select(*required, to_day(F.col(DATE)).alias("_day"))
+    counts = null_counts(unreadable, [*required, "_day"]).first().asDict()
+    no_day = counts.pop("_day")
+    missing = {c: n for c, n in counts.items() if n}
+    if missing:
+        raise ValueError(f"missing values: {missing}")
+    if no_day:
+        raise ValueError(f"{no_day} '{DATE}' entries could not be parsed as dates")
+    return assert_daily_grain(typed, [k for k in SERIES_KEYS if k in required]) if daily else typed
 
 
 def demand_signs(df: DataFrame, keys: Sequence[str] = (COUNTRY,)) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from demandspark.functions.columns import strip_quotes, to_number
 from demandspark.operators.validate import require_columns
 from demandspark.spec import Quantiles
+from demandspark.staging import staged
 
 
 def read_predictions(
@@ -60,25 +61,32 @@ def with_file_rows(read: DataFrame) -> DataFrame:
     """Add ``file`` (name without folder and extension) and ``row``, numbered from 0 per file.
 
     Ids rise along each file split, so a row's number is the rows of the earlier splits
-    plus its id less the smallest id of its own split. Only one count per split is
-    shuffled; the rows stay where they were read.
+    plus its id less the smallest id of its own split. The tagged rows are staged, which
+    fixes the ids: a second scan could cut the files differently. Only one count per
+    split is shuffled; the rows stay where they are.
     """
-    tagged = read.select(
-        *read.columns,
-        F.col("_metadata.file_path").alias("_path"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_id"),
+    tagged = staged(
+        read.select(
+            *read.columns,
+            F.col("_metadata.file_path").alias("_path"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_id"),
+        ),
+        "tagged",
     )
-    splits = tagged.groupBy("_path", "_block").agg(
-        F.count("*").alias("_n"), F.min("_id").alias("_first")
-    )
-    # One row per 128 MB split of one file: the window over a file stays small.
+    # One row per split of one file: the window over a file stays small.
     earlier = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    splits = staged(
+        tagged.groupBy("_path", "_block")
+        .agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
+        .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+        .drop("_n"),
+        "splits",
+    )
     # The name up to its first dot: batch.csv and batch.csv.out are the same batch.
     stem = F.split(F.element_at(F.split("_path", "/"), -1), r"\.", 2)[0]
     return (
-        tagged.join(splits.drop("_n"), ["_path", "_block"])
+        tagged.join(splits, ["_path", "_block"])
         .withColumns(
             {
                 "file": stem,
