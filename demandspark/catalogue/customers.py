@@ -23,7 +23,7 @@ ROUND_Q = ", ".join(f"round({q}, 4) as {q}" for q in Q)
         round(min, 4) as min, round(max, 4) as max, round(last_value, 4) as last_value, n_observations from params_cd"""),
 )
 def _(spark, sf):
-    return rounded(rounded(scaling_params(customer_daily(spark, sf)), 2, "std"), 4)
+    return rounded(rounded(scaling_params(staged(customer_daily(spark, sf), "history")), 2, "std"), 4)
 
 
 @query(
@@ -34,7 +34,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     cd = staged(customer_daily(spark, sf), "history")
-    return rounded(apply_scaling(cd, staged(scaling_params(cd), "params")), 6).select(*KEYS, DATE, DEMAND)
+    return rounded(apply_scaling(cd, scaling_params(cd)), 6).select(*KEYS, DATE, DEMAND)
 
 
 GRID = f"""select {K}, last as EffectiveDate, cast(last + cast(j as integer) as date) as ForecastDate

@@ -47,7 +47,7 @@ FLAGS = f"""select {G}, quantile, count(*) as n_rows,
 
 
 def _shrunk(spark, sf):
-    params = scaling_params(events_daily(spark, sf))
+    params = scaling_params(staged(events_daily(spark, sf), "history"))
     return staged(params.withColumns({c: F.col(c) / 10 for c in ("mean", "std", "min", "max", "last_value")}), "params")
 
 
@@ -89,7 +89,7 @@ def _(spark, sf):
 def _(spark, sf):
     """The nested report as JSON documents, parsed back and flattened."""
     forecasts = staged(_long(spark, sf), "forecasts")
-    params = staged(scaling_params(events_daily(spark, sf)), "params")
+    params = scaling_params(staged(events_daily(spark, sf), "history"))
     report = forecast_report(forecasts, params, WeekdayQuantile(SPEC))
     documents = report.select(F.to_json(F.struct(*report.columns)).alias("value"))
     parsed = documents.select(F.from_json("value", report.schema).alias("r")).select("r.*")

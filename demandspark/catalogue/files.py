@@ -43,7 +43,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     path = staging_path(spark, "params-json")
-    write_params_json(scaling_params(demand_daily(spark, sf)), path)
+    write_params_json(scaling_params(staged(demand_daily(spark, sf), "history")), path)
     return rounded(read_params_json(spark, path), 4)
 
 

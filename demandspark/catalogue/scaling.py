@@ -22,7 +22,7 @@ FIELDS = """CountryCode, Currency, BranchId, round(mean, 4) as mean, round(std,
 
 @query("scaling_params", sql("dd params_dd", f"select {FIELDS} from params_dd"))
 def _(spark, sf):
-    return rounded(scaling_params(demand_daily(spark, sf)), 4)
+    return rounded(scaling_params(staged(demand_daily(spark, sf), "history")), 4)
 
 
 @query(
@@ -33,7 +33,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     dd = staged(demand_daily(spark, sf), "history")
-    return rounded(apply_scaling(dd, staged(scaling_params(dd), "params")), 6).select(*KEYS, DATE, DEMAND)
+    return rounded(apply_scaling(dd, scaling_params(dd)), 6).select(*KEYS, DATE, DEMAND)
 
 
 @query(
@@ -44,7 +44,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     dd = staged(demand_daily(spark, sf), "history")
-    usd_only = staged(scaling_params(dd.where("Currency = 'USD'")), "params")
+    usd_only = scaling_params(dd.where("Currency = 'USD'"))
     return rounded(apply_scaling(dd, usd_only), 4).select(*KEYS, DATE, DEMAND)
 
 
@@ -55,7 +55,7 @@ def _(spark, sf):
         from ev join params_ed using (CountryCode, Currency, BranchId)"""),
 )
 def _(spark, sf):
-    params = staged(scaling_params(events_daily(spark, sf)), "params")
+    params = scaling_params(staged(events_daily(spark, sf), "history"))
     restored = inverse_scaling(evaluation(spark, sf), params, SPEC.quantiles.names)
     return rounded(restored, 2).select(*KEYS, DATE, "ForecastStep", *SPEC.quantiles.names)
 
@@ -76,7 +76,7 @@ BAD = """select CountryCode, case when BranchId = '4' then null else Currency en
         union all select CountryCode, Currency, BranchId, 'no_observations' from bad where n_observations <= 0""", bad=BAD),
 )
 def _(spark, sf):
-    params = scaling_params(demand_daily(spark, sf))
+    params = scaling_params(staged(demand_daily(spark, sf), "history"))
     branch = F.col("BranchId")
     lost_mean = (F.col("Currency") == "ZMW") & (branch == "3")
     bad = params.select(
@@ -116,7 +116,7 @@ def _(spark, sf):
 
 @query("scaling_json_roundtrip", sql("dd params_dd", f"select {FIELDS} from params_dd"))
 def _(spark, sf):
-    lines = params_to_json(scaling_params(demand_daily(spark, sf)))
+    lines = params_to_json(scaling_params(staged(demand_daily(spark, sf), "history")))
     return rounded(params_from_json(lines), 4)
 
 
@@ -128,5 +128,5 @@ def _(spark, sf):
         round(min, 4) as min, round(max, 4) as max from params_dd"""),
 )
 def _(spark, sf):
-    lines = scaling_metadata(scaling_params(demand_daily(spark, sf)), "2024-01-01T00:00:00")
+    lines = scaling_metadata(scaling_params(staged(demand_daily(spark, sf), "history")), "2024-01-01T00:00:00")
     return rounded(metadata_rows(lines), 4)

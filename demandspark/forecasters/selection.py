@@ -14,6 +14,7 @@ from demandspark.operators.grid import all_origins, origin_grid, with_horizon
 from demandspark.operators.prepare import series_template
 from demandspark.operators.reshape import evaluation_table
 from demandspark.spec import DEMAND, ForecastSpec
+from demandspark.staging import staged
 
 
 def backtest(
@@ -45,7 +46,9 @@ def candidate_errors(history: DataFrame, candidates: Sequence[Forecaster]) -> Da
 def select_candidate(errors: DataFrame, spec: ForecastSpec = ForecastSpec()) -> DataFrame:
     """Lowest RMSE per series; ties go to the first name."""
     best = F.min(F.when(F.col("rmse").isNotNull(), F.struct("rmse", "candidate")))
+    # Staged for the same reason as in ``carry_forward``: the candidates' tables are
+    # partitioned alike and share exchanges, and a union of them must be shuffled anew.
     return (
-        errors.groupBy(*spec.keys).agg(best.alias("b"))
+        staged(errors, "errors").groupBy(*spec.keys).agg(best.alias("b"))
         .select(*spec.keys, F.col("b.candidate").alias("candidate"), F.col("b.rmse").alias("rmse"))
     )

@@ -49,6 +49,8 @@ class WeekdayQuantile:
 
     def predict(self, params: DataFrame, grid: DataFrame) -> DataFrame:
         slotted = grid.withColumn(SLOT, weekday_slot(F.col(TARGET_DATE), F.col(DATE)))
-        return slotted.join(params, [*self.spec.keys, SLOT], "left").select(
+        # The planner does not count exploded rows: a plain join could broadcast a large
+        # slot table for the sake of its small source.
+        return slotted.join(params.hint("merge"), [*self.spec.keys, SLOT], "left").select(
             *grid.columns, *self.spec.quantiles.names
         )

@@ -38,14 +38,18 @@ def origin_grid(template: DataFrame, origins: DataFrame) -> DataFrame:
     """Each series at each origin of its country.
 
     The origins of a country travel as one array (bounded by the calendar) and are
-    exploded beside the series, so only the series list is shuffled.
+    exploded beside the series, so only the series list is shuffled. An outer join keeps
+    the series on the streamed side, however few they are, so the explosion is spread
+    over all tasks.
     """
     arrays = staged(
         origins.groupBy(COUNTRY).agg(F.sort_array(F.collect_set(DATE)).alias("_origins")),
         "origins",
     )
-    series = spread(template, *template.columns).join(arrays, COUNTRY)
-    return series.select(*template.columns, F.explode("_origins").alias(DATE))
+    series = spread(staged(template, "template"), *template.columns).join(arrays, COUNTRY, "left")
+    return series.select(*template.columns, F.explode_outer("_origins").alias(DATE)).where(
+        F.col(DATE).isNotNull()
+    )
 
 
 def with_horizon(origins: DataFrame, spec: ForecastSpec = ForecastSpec()) -> DataFrame:
@@ -93,17 +97,26 @@ def carry_forward(
 ) -> DataFrame:
     """As-of join: the latest state at or before each request, null before the first.
 
-    States and requests are laid in one timeline per ``by`` group, at most two entries a
-    day for requests at daily grain, and the last seen state is carried along it.
+    States and requests are laid in one timeline per ``by`` group and the last seen state
+    is carried along it. At daily grain a group is bounded by the calendar.
+
+    The timeline is partitioned by a hash column of its own: Spark 4.1 may take a union
+    of two inputs that are already partitioned by ``by`` for partitioned as well and skip
+    the shuffle, but then run it as a plain union when one input is a reused exchange.
     """
-    timeline = requests.withColumn("_request", F.lit(1)).unionByName(
-        states.select(
-            *by, F.col(at), F.struct(*payload).alias("_state"), F.lit(0).alias("_request")
-        ),
-        allowMissingColumns=True,
+    timeline = (
+        requests.withColumn("_request", F.lit(1))
+        .unionByName(
+            states.select(
+                *by, F.col(at), F.struct(*payload).alias("_state"), F.lit(0).alias("_request")
+            ),
+            allowMissingColumns=True,
+        )
+        .withColumn("_group", F.xxhash64(*by))
+        .repartition("_group")
     )
     so_far = (
-        Window.partitionBy(*by).orderBy(at, "_request")
+        Window.partitionBy("_group", *by).orderBy(at, "_request")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     carried = timeline.withColumn("_last", F.last("_state", ignorenulls=True).over(so_far))

@@ -51,7 +51,7 @@ def history_with_forecasts(
     history: DataFrame, forecasts: DataFrame, spec: ForecastSpec = ForecastSpec()
 ) -> DataFrame:
     """History rows beside the forecasts made on their day (wide: one row, long: several)."""
-    return history.join(forecasts, [*spec.keys, DATE], "left")
+    return history.join(forecasts.hint("merge"), [*spec.keys, DATE], "left")
 
 
 def step_join(requests: DataFrame, forecasts: DataFrame, spec: ForecastSpec = ForecastSpec()) -> DataFrame:

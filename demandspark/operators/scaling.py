@@ -11,21 +11,32 @@ from demandspark.functions.columns import safe_scale
 from demandspark.operators.validate import assert_empty
 from demandspark.sources.params import PARAM_FIELDS
 from demandspark.spec import DATE, DEMAND, PRODUCT, SCALING_KEYS
+from demandspark.staging import staged
 
 
 def scaling_params(df: DataFrame, keys: Sequence[str] = SCALING_KEYS, value: str = DEMAND) -> DataFrame:
-    """Mean, sample deviation, range, last value and count per group; all combined map-side.
+    """Mean, sample deviation, range, last value and count per group; staged, one row per group.
 
-    The last value is that of the latest date; among its rows the highest product id decides.
+    The last value is that of the latest date; among its rows the highest product id
+    decides. Text cannot be kept in a hash aggregate's buffer, and sorting all rows for
+    the sake of one value would cost more than reading them again: the first pass keeps
+    numbers and dates only, the second looks at the rows of each group's latest date.
     """
-    return df.groupBy(*keys).agg(
-        F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("std"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
-        F.max_by(value, F.struct(DATE, PRODUCT)).alias("last_value"),
-        F.count("*").alias("n_observations"),
+    moments = staged(
+        df.groupBy(*keys).agg(
+            F.avg(value).alias("mean"),
+            F.stddev_samp(value).alias("std"),
+            F.min(value).alias("min"),
+            F.max(value).alias("max"),
+            F.max(DATE).alias(DATE),
+            F.count("*").alias("n_observations"),
+        ),
+        "moments",
     )
+    newest = df.join(moments.select(*keys, DATE), [*keys, DATE], "left_semi")
+    last = newest.groupBy(*keys).agg(F.max_by(value, PRODUCT).alias("last_value"))
+    params = moments.join(last, list(keys), "left").select(*keys, *PARAM_FIELDS)
+    return staged(params, "params")
 
 
 def apply_scaling(

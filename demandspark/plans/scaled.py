@@ -17,7 +17,6 @@ from demandspark.operators.scaling import (
     apply_scaling, inverse_scaling, require_groups, scaling_params, unused_groups, validated_params,
 )
 from demandspark.sources.params import stats_report
-from demandspark.staging import staged
 
 
 @dataclass(frozen=True)
@@ -39,7 +38,7 @@ class ScoredRun:
 
 def train_scaled(history: DataFrame, forecaster: Forecaster) -> ScaledModel:
     spec = forecaster.spec
-    scaling = staged(scaling_params(history, spec.scaling_keys), "params")
+    scaling = scaling_params(history, spec.scaling_keys)
     scaled = apply_scaling(history, scaling, spec.scaling_keys)
     return ScaledModel(scaling, forecaster.fit(scaled), series_template(history, spec.keys))
 

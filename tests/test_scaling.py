@@ -14,7 +14,7 @@ from demandspark.operators.scaling import (
 from demandspark.sources.params import (
     metadata_rows, params_from_json, params_to_json, read_params_json, scaling_metadata, write_params_json,
 )
-from tests.helpers import A, B, C, day, demand, rows
+from tests.helpers import A, B, C, demand, rows
 
 ONE = ("18", "13", "ZM", "USD")
 FLAT = ("18", "14", "ZM", "USD")

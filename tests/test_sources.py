@@ -145,7 +145,7 @@ def test_small_staged_tables_are_broadcast_without_a_hint(spark):
     df = demand(spark, {A: list(range(50)), C: [1]})
     from demandspark.operators.scaling import apply_scaling, scaling_params
 
-    plan = apply_scaling(df, staged(scaling_params(df), "p"))._jdf.queryExecution().executedPlan().toString()
+    plan = apply_scaling(df, scaling_params(df))._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
