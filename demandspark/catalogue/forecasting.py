@@ -331,7 +331,7 @@ RESTORED = ", ".join(
         st=SCALED_STATES, g=LAST_ORIGIN),
 )
 def _(spark, sf):
-    return rounded(scaled_forecast(demand_daily(spark, sf), TrailingQuantile(SPEC)), 3)
+    return rounded(scaled_forecast(staged(demand_daily(spark, sf), "history"), TrailingQuantile(SPEC)), 3)
 
 
 LOGGED_STATES = f"""select {K}, EffectiveDate, quantile_cont(z, 0.1) over w as p10,
@@ -351,5 +351,5 @@ LOGGED_STATES = f"""select {K}, EffectiveDate, quantile_cont(z, 0.1) over w as p
         cross join range(1, 11) r(j)""", st=LOGGED_STATES, g=LAST_ORIGIN),
 )
 def _(spark, sf):
-    dd = demand_daily(spark, sf).withColumn(DEMAND, F.col(DEMAND) - 6000000)
+    dd = staged(demand_daily(spark, sf), "history").withColumn(DEMAND, F.col(DEMAND) - 6000000)
     return rounded(logged_forecast(dd, TrailingQuantile(SPEC), latest_origin(dd)), 3)

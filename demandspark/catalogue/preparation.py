@@ -42,7 +42,7 @@ def _(spark, sf):
     sql("dd", f"select {K}, EffectiveDate, Demand from dd"),
 )
 def _(spark, sf):
-    raw = demand_daily(spark, sf).withColumn(DATE, F.date_format(DATE, "yyyy-MM-dd HH:mm:ss"))
+    raw = staged(demand_daily(spark, sf), "history").withColumn(DATE, F.date_format(DATE, "yyyy-MM-dd HH:mm:ss"))
     return prepare_demand(raw)
 
 
@@ -114,7 +114,7 @@ SHIFTED = {"low": f"select {K}, EffectiveDate, Demand - 6000000 as Demand from d
         else Demand end, 4) as Demand from low""", **SHIFTED),
 )
 def _(spark, sf):
-    low = demand_daily(spark, sf).withColumn(DEMAND, F.col(DEMAND) - 6000000)
+    low = staged(demand_daily(spark, sf), "history").withColumn(DEMAND, F.col(DEMAND) - 6000000)
     return rounded(repair_nonpositive(low), 4)
 
 
@@ -190,7 +190,7 @@ STEPS = 10
              then 'train' else 'future' end as part from ed"""),
 )
 def _(spark, sf):
-    return train_future_split(events_daily(spark, sf), STEPS).select(*KEYS, DATE, DEMAND, "Cutoff", "part")
+    return train_future_split(staged(events_daily(spark, sf), "history"), STEPS).select(*KEYS, DATE, DEMAND, "Cutoff", "part")
 
 
 @query(

@@ -14,11 +14,13 @@ class Forecaster(Protocol):
 
     ``history`` has one row per series and day. ``predict`` keeps every row of the grid
     (series, EffectiveDate = origin, ForecastDate) and may use history up to the origin
-    only; quantiles are null where there is nothing to go by.
+    only; quantiles are null where there is nothing to go by. ``lookback_days`` is how
+    far before an origin its history reaches, or None when that is not a span of days.
     """
 
     name: str
     spec: ForecastSpec
+    lookback_days: int | None
 
     def fit(self, history: DataFrame) -> DataFrame: ...
 

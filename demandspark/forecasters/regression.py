@@ -30,6 +30,7 @@ class LagRegression:
     holidays: DataFrame | None = None
     spec: ForecastSpec = field(default_factory=ForecastSpec)
     name: str = "lag_regression"
+    lookback_days: int | None = None
 
     @property
     def features(self) -> list[str]:

@@ -13,7 +13,7 @@ from demandspark.functions.stats import root_mean_square
 from demandspark.operators.grid import all_origins, origin_grid, with_horizon
 from demandspark.operators.prepare import series_template
 from demandspark.operators.reshape import evaluation_table
-from demandspark.spec import DEMAND, ForecastSpec
+from demandspark.spec import COUNTRY, DATE, DEMAND, ForecastSpec
 from demandspark.staging import staged
 
 
@@ -22,11 +22,26 @@ def backtest(
 ) -> DataFrame:
     """Score every series from every origin (default: all dates of its country)."""
     spec = forecaster.spec
-    origins = all_origins(history) if origins is None else origins
-    grid = with_horizon(origin_grid(series_template(history, spec.keys), origins), spec)
+    template = series_template(history, spec.keys)
+    if origins is None:
+        return _scored(forecaster, history, template, all_origins(history))
+    if forecaster.lookback_days is not None:
+        history = since_origins(history, origins, forecaster.lookback_days)
+    return _scored(forecaster, history, template, origins)
+
+
+def _scored(forecaster: Forecaster, history: DataFrame, template: DataFrame, origins: DataFrame) -> DataFrame:
+    grid = with_horizon(origin_grid(template, origins), forecaster.spec)
     return forecaster.predict(forecaster.fit(history), grid)
 
 
+def since_origins(history: DataFrame, origins: DataFrame, days: int) -> DataFrame:
+    """History that reaches at most ``days`` days before its country's first origin."""
+    first = staged(origins.groupBy(COUNTRY).agg(F.min(DATE).alias("_first")), "first-origins")
+    recent = F.col(DATE) > F.date_sub(F.col("_first"), days)
+    return history.join(first, COUNTRY).where(recent).select(*history.columns)
+
+
 def candidate_errors(history: DataFrame, candidates: Sequence[Forecaster]) -> DataFrame:
     """RMSE of the middle quantile per series and candidate, over all origins and days."""
     def errors(c: Forecaster) -> DataFrame:

@@ -24,6 +24,7 @@ class ExponentialSmoothing:
     alpha: float = 0.3
     spec: ForecastSpec = field(default_factory=ForecastSpec)
     name: str = "exp_smoothing"
+    lookback_days: int | None = None
 
     def fit(self, history: DataFrame) -> DataFrame:
         last = staged(history.groupBy(COUNTRY).agg(F.max(DATE).alias("_last")), "last-dates")

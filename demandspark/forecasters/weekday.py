@@ -31,6 +31,10 @@ class WeekdayQuantile:
     spec: ForecastSpec = field(default_factory=ForecastSpec)
     name: str = "weekday_quantile"
 
+    @property
+    def lookback_days(self) -> int:
+        return 7 * self.spec.weekday_weeks
+
     def fit(self, history: DataFrame) -> DataFrame:
         q, weeks = self.spec.quantiles, self.spec.weekday_weeks
         served = F.transform(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import DataFrame
@@ -35,32 +36,24 @@ def melt(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def column_profile(
     df: DataFrame, columns: Sequence[str] | None = None, approximate: bool = False
 ) -> DataFrame:
-    """Per column: type, rows, non-null, null and distinct counts. One aggregate over the table."""
-    columns = list(columns or df.columns)
+    """Per column: type, rows, non-null, null and distinct counts.
+
+    Each column is counted on its own: a columnar source reads every column once, and
+    only that column's values are shuffled. Counting all distinct values in one aggregate
+    would shuffle each row once per column, at the width of all columns.
+    """
     distinct = F.approx_count_distinct if approximate else F.count_distinct
     types = dict(df.dtypes)
-    wide = df.agg(
-        F.count("*").alias("n_rows"),
-        *[
-            F.struct(F.count(c).alias("n_present"), distinct(F.col(c)).alias("n_distinct")).alias(c)
-            for c in columns
-        ],
-    )
-    rows = F.explode(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(c).alias("column"),
-                    F.lit(types[c]).alias("type"),
-                    F.col(f"`{c}`.n_present").alias("n_present"),
-                    (F.col("n_rows") - F.col(f"`{c}`.n_present")).alias("n_null"),
-                    F.col(f"`{c}`.n_distinct").alias("n_distinct"),
-                )
-                for c in columns
-            ]
-        )
-    )
-    return wide.select("n_rows", rows.alias("p")).select("p.*", "n_rows")
+
+    def profile(c: str) -> DataFrame:
+        return df.agg(
+            F.count(c).alias("n_present"),
+            F.count_if(F.col(c).isNull()).alias("n_null"),
+            distinct(F.col(c)).alias("n_distinct"),
+            F.count("*").alias("n_rows"),
+        ).select(F.lit(c).alias("column"), F.lit(types[c]).alias("type"), "*")
+
+    return reduce(DataFrame.unionByName, [profile(c) for c in columns or df.columns])
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
