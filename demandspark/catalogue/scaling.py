@@ -51,12 +51,14 @@ def _(spark, sf):
 @query(
     "inverse_scaling",
     sql("ed ed_grid wq ev params_ed", f"""select {K}, EffectiveDate, ForecastStep,
-        {', '.join(f'round({q} * (case when std = 0 then 1 else std end) + mean, 2) as {q}' for q in ('p10', 'p50', 'p90'))}
+        {', '.join(f'round({q} / 1e5::double * (case when std = 0 then 1 else std end) + mean, 2) as {q}' for q in ('p10', 'p50', 'p90'))}
         from ev join params_ed using (CountryCode, Currency, BranchId)"""),
 )
 def _(spark, sf):
     params = scaling_params(staged(events_daily(spark, sf), "history"))
-    restored = inverse_scaling(evaluation(spark, sf), params, SPEC.quantiles.names)
+    # Brought down to the size of scaled forecasts first.
+    scaled = evaluation(spark, sf).withColumns({q: F.col(q) / 1e5 for q in SPEC.quantiles.names})
+    restored = inverse_scaling(scaled, params, SPEC.quantiles.names)
     return rounded(restored, 2).select(*KEYS, DATE, "ForecastStep", *SPEC.quantiles.names)
 
 

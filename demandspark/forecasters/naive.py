@@ -23,6 +23,7 @@ class SeasonalNaive:
     spec: ForecastSpec = field(default_factory=ForecastSpec)
     name: str = "seasonal_naive"
     lookback_days: int | None = None
+    needs_target: bool = True
 
     def fit(self, history: DataFrame) -> DataFrame:
         q = self.spec.quantiles

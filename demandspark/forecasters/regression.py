@@ -31,6 +31,7 @@ class LagRegression:
     spec: ForecastSpec = field(default_factory=ForecastSpec)
     name: str = "lag_regression"
     lookback_days: int | None = None
+    needs_target: bool = True
 
     @property
     def features(self) -> list[str]:

@@ -8,9 +8,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.forecasters.base import Forecaster
+from demandspark.forecasters.base import Forecaster, score_origins
 from demandspark.functions.stats import root_mean_square
-from demandspark.operators.grid import all_origins, origin_grid, with_horizon
+from demandspark.operators.grid import all_origins, origin_grid
 from demandspark.operators.prepare import series_template
 from demandspark.operators.reshape import evaluation_table
 from demandspark.spec import COUNTRY, DATE, DEMAND, ForecastSpec
@@ -31,8 +31,7 @@ def backtest(
 
 
 def _scored(forecaster: Forecaster, history: DataFrame, template: DataFrame, origins: DataFrame) -> DataFrame:
-    grid = with_horizon(origin_grid(template, origins), forecaster.spec)
-    return forecaster.predict(forecaster.fit(history), grid)
+    return score_origins(forecaster, forecaster.fit(history), origin_grid(template, origins))
 
 
 def since_origins(history: DataFrame, origins: DataFrame, days: int) -> DataFrame:

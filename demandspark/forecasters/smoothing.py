@@ -25,6 +25,7 @@ class ExponentialSmoothing:
     spec: ForecastSpec = field(default_factory=ForecastSpec)
     name: str = "exp_smoothing"
     lookback_days: int | None = None
+    needs_target: bool = False
 
     def fit(self, history: DataFrame) -> DataFrame:
         last = staged(history.groupBy(COUNTRY).agg(F.max(DATE).alias("_last")), "last-dates")

@@ -19,6 +19,7 @@ class TrailingQuantile:
     spec: ForecastSpec = field(default_factory=ForecastSpec)
     name: str = "trailing_quantile"
     lookback_days: int | None = None
+    needs_target: bool = False
 
     def fit(self, history: DataFrame) -> DataFrame:
         q = self.spec.quantiles

@@ -30,6 +30,7 @@ class WeekdayQuantile:
 
     spec: ForecastSpec = field(default_factory=ForecastSpec)
     name: str = "weekday_quantile"
+    needs_target: bool = True
 
     @property
     def lookback_days(self) -> int:

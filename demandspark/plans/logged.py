@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.forecasters.base import Forecaster
-from demandspark.operators.grid import all_origins, origin_grid, with_forecast_day, with_horizon
+from demandspark.forecasters.base import Forecaster, score_origins
+from demandspark.operators.grid import all_origins, origin_grid, with_forecast_day
 from demandspark.operators.prepare import (
     country_name, log_transform, repair_nonpositive, series_template,
 )
@@ -29,8 +29,8 @@ def logged_forecast(
     spec = forecaster.spec
     origins = all_origins(history) if origins is None else origins
     logged = log_transform(repair_nonpositive(history))
-    grid = with_horizon(origin_grid(series_template(history, spec.keys), origins), spec)
-    scored = unlog_quantiles(forecaster.predict(forecaster.fit(logged), grid), spec)
+    grid = origin_grid(series_template(history, spec.keys), origins)
+    scored = unlog_quantiles(score_origins(forecaster, forecaster.fit(logged), grid), spec)
     ordered = unlog_quantiles(order_quantiles(scored, spec), spec, inverse_passes - 1)
     return (
         with_forecast_day(ordered, spec, "horizon_day")

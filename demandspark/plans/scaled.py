@@ -6,11 +6,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from demandspark.forecasters.base import Forecaster
+from demandspark.forecasters.base import Forecaster, score_origins
 from demandspark.operators.evaluate import (
     describe_forecasts, forecast_flags, group_flags,
 )
-from demandspark.operators.grid import latest_origin, origin_grid, with_horizon
+from demandspark.operators.grid import latest_origin, origin_grid
 from demandspark.operators.prepare import series_template
 from demandspark.operators.reshape import forecast_long, order_quantiles, pivot_forecast
 from demandspark.operators.scaling import (
@@ -48,8 +48,7 @@ def score_scaled(model: ScaledModel, forecaster: Forecaster, origins: DataFrame)
     spec = forecaster.spec
     validated_params(model.scaling, spec.scaling_keys)
     require_groups(model.template, model.scaling, spec.scaling_keys)
-    grid = with_horizon(origin_grid(model.template, origins), spec)
-    scored = forecaster.predict(model.forecaster_params, grid)
+    scored = score_origins(forecaster, model.forecaster_params, origin_grid(model.template, origins))
     restored = inverse_scaling(scored, model.scaling, spec.quantiles.names, spec.scaling_keys)
     forecasts = order_quantiles(restored, spec)
     return ScoredRun(forecasts, unused_groups(model.scaling, model.template, spec.scaling_keys))
