@@ -29,6 +29,7 @@ from demandspark.staging import staged
 HOT_ROWS = 100_000
 _COARSE_PER_LOG_UNIT = 256
 _FINE_BUCKETS = 1024
+_NEVER_NULL = ("_all", "_b1", "_b2")
 
 
 def _coarse_bucket(x: Column) -> Column:
@@ -44,11 +45,12 @@ def _fine_bucket(x: Column, low: Column, high: Column) -> Column:
 
 
 def _same(left: str, right: str, columns: Sequence[str]) -> Column:
-    """Null-safe equality on all columns."""
-    return reduce(
-        lambda a, b: a & b,
-        [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns],
-    )
+    """Equality on all columns, null-safe for keys; our own bucket columns are never null."""
+    def equal(c: str) -> Column:
+        a, b = F.col(f"{left}.{c}"), F.col(f"{right}.{c}")
+        return a == b if c in _NEVER_NULL else a.eqNullSafe(b)
+
+    return reduce(lambda a, b: a & b, map(equal, columns))
 
 
 def _buckets_with_ranks(counts: DataFrame, parts: list[str], bucket: str) -> DataFrame:
@@ -79,16 +81,19 @@ def exact_quantiles(
     """One row per group with the named quantiles of the non-null values.
 
     Group sizes are counted first. Groups of up to ``hot_rows`` values go to the built-in
-    ``percentile``; larger ones are narrowed. ``df`` is scanned two to five times, so pass
-    a table or a ``staged`` frame if it is expensive to derive.
+    ``percentile``; larger ones are narrowed. ``hot_rows=0`` narrows all without counting.
+    ``df`` is scanned two to five times, so pass a table or a ``staged`` frame if it is
+    expensive to derive.
     """
     keys = list(keys)
-    parts = ["_all", *keys]
+    parts = keys or ["_all"]
     wanted = dict(zip(names, [float(p) for p in probabilities]))
     values = df.select(
         *keys, F.lit(0).alias("_all"), F.col(value).cast("double").alias("_x")
     ).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
 
+    if hot_rows == 0:
+        return _narrowed(values, parts, wanted).select(*keys, *names)
     sizes = values.groupBy(*parts).agg(F.count("*").alias("_n"))
     is_hot = F.col("_n") > hot_rows
     found = sizes.agg(F.count_if(is_hot).alias("hot"), F.count_if(~is_hot).alias("small")).first()

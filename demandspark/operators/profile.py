@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandspark.functions.columns import strip_thousands
-from demandspark.functions.quantiles import exact_quantiles
+from demandspark.functions.quantiles import HOT_ROWS, exact_quantiles
 from demandspark.functions.stats import guarded_corr
 
 # Histogram bins, whisker length, text of a failed prediction.
@@ -26,11 +26,9 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 def melt(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, value) rows with value as double; nulls and NaN left out."""
-    cells = [
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns
-    ]
-    values = F.explode(F.array(*cells))
-    return df.select(values.alias("_v")).select("_v.*").where("value is not null and not isnan(value)")
+    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    long = doubles.unpivot([], list(columns), "column", "value")
+    return long.where("value is not null and not isnan(value)")
 
 
 def column_profile(
@@ -101,7 +99,11 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = BINS) -> DataFr
 def box_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Quartiles, whiskers at the last value within 1.5 IQR, and values beyond, per column."""
     long = melt(df, columns)
-    quartiles = exact_quantiles(long, ["column"], "value", [0.25, 0.5, 0.75], ["q1", "median", "q3"])
+    # A column has as many values as the table has rows, a figure that file footers hold.
+    hot_rows = 0 if df.count() > HOT_ROWS else HOT_ROWS
+    quartiles = exact_quantiles(
+        long, ["column"], "value", [0.25, 0.5, 0.75], ["q1", "median", "q3"], hot_rows
+    )
     reach = (F.col("q3") - F.col("q1")) * WHISKER
     inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
     return (
