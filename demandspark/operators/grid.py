@@ -100,9 +100,10 @@ def carry_forward(
     States and requests are laid in one timeline per ``by`` group and the last seen state
     is carried along it. At daily grain a group is bounded by the calendar.
 
-    The timeline is partitioned by a hash column of its own: Spark 4.1 may take a union
-    of two inputs that are already partitioned by ``by`` for partitioned as well and skip
-    the shuffle, but then run it as a plain union when one input is a reused exchange.
+    The timeline is partitioned by a hash column of its own. Spark 4.1 takes a union of
+    two inputs that are partitioned by ``by`` for partitioned as well and skips the
+    shuffle; a plan of that shape with reused exchanges gave wrong rows, and right ones
+    with ``spark.sql.unionOutputPartitioning`` off.
     """
     timeline = (
         requests.withColumn("_request", F.lit(1))

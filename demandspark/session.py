@@ -10,8 +10,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Spark 4.1 plans a union of equally partitioned inputs as partitioned, but may run it
-    # as a plain union when an input is a reused exchange; groups then come out split.
+    # Spark 4.1 takes a union of equally partitioned inputs for partitioned as well; with
+    # reused exchanges below, such a plan was seen to give wrong rows.
     "spark.sql.unionOutputPartitioning": "false",
 }
 
