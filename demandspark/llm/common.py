@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from demandspark.shipping import ship_package
 from demandspark.staging import staged
 
 # Text handed to Python code at once; a longer text comes alone.
@@ -63,6 +64,12 @@ def _slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start)
 
 
+def arrow_stage(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``df.mapInArrow`` by a function of this package, wherever the workers run."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def text_stage(
     df: DataFrame, text: str, out: str | T.StructType, make: Callable[[], Callable[[list], dict]]
 ) -> DataFrame:
@@ -92,7 +99,7 @@ def text_stage(
                     [a.cast(t) if a.type != t else a for a, t in zip(arrays, arrow.types)], schema=arrow
                 )
 
-    return df.mapInArrow(run, schema)
+    return arrow_stage(df, run, schema)
 
 
 def partition_count(spark: SparkSession) -> int:
