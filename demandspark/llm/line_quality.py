@@ -53,8 +53,7 @@ def line_fails(line: str) -> bool:
         return True
     if len(SEPARATORS.findall(line)) >= MENU_SEPARATORS or BOILERPLATE.search(line):
         return True
-    words = line.split()
-    return len(words) <= FRAGMENT_WORDS and not words[-1].endswith(END_MARKS)
+    return len(line.split()) <= FRAGMENT_WORDS and not line.rstrip().endswith(END_MARKS)
 
 
 def repeated_words(words: list) -> int:

@@ -5,12 +5,13 @@ lower-cased text) hashed into 2^14 buckets, scaled to unit length. Document freq
 are counted over all rows given. The weights come from the proximal form of
 follow-the-regularised-leader with per-coordinate rates, L1 and L2 penalties, which leaves
 most of them zero; one temperature, found on rows kept out of the fit, calibrates them.
+``styled_counts`` adds ten steps each of some measures of style, at a weight of their own.
 """
 
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -21,6 +22,8 @@ from pyspark.sql import functions as F
 from demandspark.llm.common import arrow_stage, text_stage
 
 BUCKETS = 1 << 14
+STYLE_MEASURES, STYLE_STEPS, STYLE_WEIGHT = 6, 10, 0.4
+DIMENSIONS = BUCKETS + STYLE_MEASURES * STYLE_STEPS
 CALIBRATION_SHARE = 5  # one in so many sampled rows sets the temperature
 
 
@@ -40,12 +43,35 @@ def counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     return at, 1 + np.log(n[at])
 
 
+def style(text: str) -> list[float]:
+    """Measures from 0 to 1: variety, repetition, marks, capitals, separators, length."""
+    words = text.split()
+    n, letters = max(len(words), 1), max(sum(map(str.isalpha, text)), 1)
+    same = sum(a == b for a, b in zip(words, words[1:]))
+    return [
+        len(set(words)) / n, same / n, min(1.0, 4 * sum(map(text.count, "#*$%&!<>|=_")) / max(len(text), 1)),
+        sum(map(str.isupper, text)) / letters, min(1.0, 4 * text.count("|") / n), min(1.0, np.log2(n) / 14),
+    ]
+
+
+def styled_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """``counts`` and the step of each measure of style."""
+    at, tf = counts(text)
+    steps = [min(int(x * STYLE_STEPS), STYLE_STEPS - 1) for x in style(text)]
+    extra = BUCKETS + STYLE_STEPS * np.arange(STYLE_MEASURES) + steps
+    return np.concatenate([at, extra]), np.concatenate([tf, np.ones(STYLE_MEASURES)])
+
+
+Features = Callable[[str], tuple[np.ndarray, np.ndarray]]
+
+
 @dataclass
 class Regression:
     """Multinomial logistic regression by follow-the-regularised-leader (proximal)."""
 
     classes: list[str]
     idf: np.ndarray
+    features: Features = counts
     alpha: float = 0.5
     beta: float = 1.0
     l1: float = 0.02
@@ -56,7 +82,10 @@ class Regression:
 
     def vector(self, at: np.ndarray, tf: np.ndarray) -> np.ndarray:
         x = tf * self.idf[at]
-        return x / max(np.sqrt((x * x).sum()), 1e-12)
+        grams = at < BUCKETS
+        x[grams] /= max(np.sqrt((x[grams] ** 2).sum()), 1e-12)
+        x[~grams] = STYLE_WEIGHT
+        return x
 
     def fit(self, rows: list[tuple[np.ndarray, np.ndarray, str]]) -> Regression:
         """Trains on (buckets, tf, label) rows, one in CALIBRATION_SHARE set aside."""
@@ -64,7 +93,7 @@ class Regression:
         data = [(at, self.vector(at, tf), number[label]) for at, tf, label in rows]
         aside, train = data[::CALIBRATION_SHARE], [d for i, d in enumerate(data) if i % CALIBRATION_SHARE]
         train = train or data
-        z = np.zeros((BUCKETS, len(self.classes)))
+        z = np.zeros((DIMENSIONS, len(self.classes)))
         n = np.zeros_like(z)
         order = np.random.default_rng(7)
         for _ in range(self.epochs):
@@ -102,7 +131,7 @@ class Regression:
 
     def probabilities(self, text: str) -> np.ndarray:
         """Calibrated probability of each class."""
-        at, tf = counts(text)
+        at, tf = self.features(text)
         return softmax(self.logits(at, self.vector(at, tf)) / self.temperature)
 
 
@@ -132,18 +161,18 @@ def document_frequencies(rows: DataFrame) -> tuple[int, np.ndarray]:
 
 
 def inverse_frequencies(rows: int, df: np.ndarray) -> np.ndarray:
-    return np.log((1 + rows) / (1 + df)) + 1
+    return np.append(np.log((1 + rows) / (1 + df)) + 1, np.ones(DIMENSIONS - BUCKETS))
 
 
-def fit_on(sample: DataFrame, classes: list[str], idf: np.ndarray) -> Regression | None:
+def fit_on(sample: DataFrame, classes: list[str], idf: np.ndarray, features: Features = counts) -> Regression | None:
     """A model learnt from a bounded ``sample`` of ``text`` and ``label``; None if it is empty.
 
     Texts become sparse vectors where they lie; one task trains on those, and its result
-    is BUCKETS weights for each class.
+    is DIMENSIONS weights for each class.
     """
 
-    def features(texts):
-        found = [counts(t or "") for t in texts]
+    def vectors(texts):
+        found = [features(t or "") for t in texts]
         return {"features": [pickle.dumps((at.astype(np.uint16), tf.astype(np.float32))) for at, tf in found]}
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,14 +181,14 @@ def fit_on(sample: DataFrame, classes: list[str], idf: np.ndarray) -> Regression
         np.random.default_rng(1).shuffle(data)
         rows = [(*pickle.loads(blob), label) for blob, label in data]
         if rows:
-            model = Regression(classes, idf).fit([(at.astype(np.int64), tf.astype(float), c) for at, tf, c in rows])
+            model = Regression(classes, idf, features).fit([(at.astype(np.int64), tf.astype(float), c) for at, tf, c in rows])
             blob = pickle.dumps((model.weights, model.temperature))
             yield pa.RecordBatch.from_pydict({"model": pa.array([blob], pa.binary())})
 
-    vectors = text_stage(sample.select("text", "label"), "text", "features binary", lambda: features)
-    fitted = arrow_stage(vectors.repartition(1), fit, "model binary").collect()
+    sparse = text_stage(sample.select("text", "label"), "text", "features binary", lambda: vectors)
+    fitted = arrow_stage(sparse.repartition(1), fit, "model binary").collect()
     if not fitted:
         return None
-    model = Regression(classes, idf)
+    model = Regression(classes, idf, features)
     model.weights, model.temperature = pickle.loads(fitted[0]["model"])
     return model

@@ -1,6 +1,6 @@
 """Operator 1: quality by hierarchical empirical Bayes.
 
-1. A classifier on character n-grams, trained on a bounded sample of the labelled rows
+1. A classifier on character n-grams and measures of style, trained on a bounded sample of the labelled rows
    (about ``fit_rows`` of each label, chosen by a hash), scores every document on its
    whole text. Document frequencies cover all documents.
 2. Grouped aggregation sums, for each path and each host, the evidence of its documents:
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandspark.llm.common import table, text_stage
-from demandspark.llm.ngram_regression import Regression, document_frequencies, fit_on, inverse_frequencies
+from demandspark.llm.ngram_regression import Regression, document_frequencies, fit_on, inverse_frequencies, styled_counts
 from demandspark.llm.registry import query
 from demandspark.staging import staged
 
@@ -52,7 +52,7 @@ def classifier(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
     rate = F.when(F.col("y") == 1, min(1.0, fit_rows / sizes[1])).otherwise(min(1.0, fit_rows / sizes[0]))
     chosen = staged(labels.where("y in (0, 1)").where(spread < rate).select("id", F.col("y").cast("int").cast("string").alias("label")), "quality-sample")
     idf = inverse_frequencies(*document_frequencies(docs))
-    return fit_on(docs.join(chosen, "id").select("text", "label"), ["0", "1"], idf)
+    return fit_on(docs.join(chosen, "id").select("text", "label"), ["0", "1"], idf, styled_counts)
 
 
 def _strength(stats: DataFrame, mean: Column) -> float:
