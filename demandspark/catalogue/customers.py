@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from demandspark.catalogue.fixtures import K, KEYS, SPEC, customer_daily, sql
+from demandspark.catalogue.forecasting import recursion
 from demandspark.catalogue.registry import query, rounded
 from demandspark.forecasters import TrailingQuantile, WeekdayQuantile, backtest, iterative_forecast
 from demandspark.operators.diagnose import autocorrelation, iqr_outliers, seasonal_patterns
@@ -70,7 +71,10 @@ def _(spark, sf):
     return rounded(scored, 4).select(*KEYS, DATE, TARGET_DATE, *Q)
 
 
-@query("customer_iterative_forecast")
+@query(
+    "customer_iterative_forecast",
+    sql("cd", f"select {K}, EffectiveDate, ForecastStep, {ROUND_Q} from iter", recursive=True, **recursion("cd", 20)),
+)
 def _(spark, sf):
     return rounded(iterative_forecast(customer_daily(spark, sf), ForecastSpec(iterative_steps=20)), 4)
 

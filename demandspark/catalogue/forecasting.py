@@ -82,6 +82,21 @@ def _(spark, sf):
     return rounded(backtest(staged(events_daily(spark, sf), "history"), TrailingQuantile(SPEC)), 4)
 
 
+ALPHA = 0.3
+Z90 = 1.2815515655446004
+# Moments about the series mean, which keeps the variance exact.
+SMOOTHED = f"""select {GK}, g.EffectiveDate, any_value(mu) + sum(w * d) / sum(w) as lvl,
+    sqrt(greatest(0.0::double, sum(w * d * d) / sum(w) - power(sum(w * d) / sum(w), 2))) as spr
+    from (select *, avg(Demand) over (partition by {K}) as mu from ed) g
+    join (select *, Demand - avg(Demand) over (partition by {K}) as d from ed) h
+    on {ON} and h.EffectiveDate <= g.EffectiveDate
+    cross join lateral (select power(0.7::double, g.EffectiveDate - h.EffectiveDate) as w)
+    group by {GK}, g.EffectiveDate"""
+SMOOTH = f"""select {GK}, g.EffectiveDate, g.ForecastDate, lvl - {Z90}::double * spr as p10, lvl as p50,
+    lvl + {Z90}::double * spr as p90
+    from ed_grid g asof left join sm h on {ON} and g.EffectiveDate >= h.EffectiveDate"""
+
+
 def _rmse(table: str, name: str) -> str:
     return f"""select {GK}, '{name}' as candidate, round(sqrt(avg(power(h.Demand - g.p50, 2))), 6) as rmse,
         count(h.Demand - g.p50) as n_scored
@@ -89,12 +104,13 @@ def _rmse(table: str, name: str) -> str:
 
 
 ERRORS = dict(
-    r=RESIDUALS, s=NAIVE_STATES, n=NAIVE, ts=TRAILING_STATES, t=TRAILING,
+    r=RESIDUALS, s=NAIVE_STATES, n=NAIVE, ts=TRAILING_STATES, t=TRAILING, sm=SMOOTHED, es=SMOOTH,
     e=" union all ".join(
-        [_rmse("n", "seasonal_naive"), _rmse("t", "trailing_quantile"), _rmse("wq", "weekday_quantile")]
+        [_rmse("n", "seasonal_naive"), _rmse("t", "trailing_quantile"), _rmse("wq", "weekday_quantile"),
+         _rmse("es", "exp_smoothing")]
     ),
 )
-CANDIDATES = [SeasonalNaive(SPEC), TrailingQuantile(SPEC), WeekdayQuantile(SPEC)]
+CANDIDATES = [SeasonalNaive(SPEC), TrailingQuantile(SPEC), WeekdayQuantile(SPEC), ExponentialSmoothing(ALPHA, SPEC)]
 
 
 @query("candidate_errors", sql("ed ed_grid wq", f"select {K}, candidate, round(rmse, 4) as rmse, n_scored from e", **ERRORS))
@@ -220,7 +236,7 @@ TRAIN = f"""select * from ed where EffectiveDate <= (select max(EffectiveDate) -
 STEPS_SPEC = ForecastSpec(iterative_steps=10)
 
 
-def _recursion(source: str, steps: int) -> dict[str, str]:
+def recursion(source: str, steps: int) -> dict[str, str]:
     """One row per series and step; the tail is carried as a list."""
     def level(p):
         return f"list_aggregate(tail, 'quantile_cont', {p})"
@@ -246,7 +262,7 @@ def _train(spark, sf):
 
 @query(
     "iterative_forecast",
-    sql("ed", f"select {K}, EffectiveDate, ForecastStep, {ROUND_Q} from iter", recursive=True, train=TRAIN, **_recursion("train", 10)),
+    sql("ed", f"select {K}, EffectiveDate, ForecastStep, {ROUND_Q} from iter", recursive=True, train=TRAIN, **recursion("train", 10)),
 )
 def _(spark, sf):
     train = _train(spark, sf).where("part = 'train'")
@@ -256,7 +272,7 @@ def _(spark, sf):
 @query(
     "step_join",
     sql("ed", f"select {K}, EffectiveDate, round(p50, 4) as Demand from iter where ForecastStep = 1",
-        recursive=True, train=TRAIN, **_recursion("train", 1)),
+        recursive=True, train=TRAIN, **recursion("train", 1)),
 )
 def _(spark, sf):
     train = _train(spark, sf).where("part = 'train'").select(*KEYS, DATE, DEMAND)
@@ -274,7 +290,7 @@ def _(spark, sf):
         count(g.Demand - p50) as n_scored, count(*) filter (where g.Demand = 0) as n_zero_demand
         from (select * from ed where EffectiveDate > (select max(EffectiveDate) - 10 from ed)) g
         left join iter h on {ON} and g.EffectiveDate = h.EffectiveDate group by {GK}""",
-        recursive=True, train=TRAIN, **_recursion("train", 10)),
+        recursive=True, train=TRAIN, **recursion("train", 10)),
 )
 def _(spark, sf):
     split = staged(_train(spark, sf), "split")
@@ -282,24 +298,14 @@ def _(spark, sf):
     return rounded(holdout_accuracy(split.where("part = 'future'"), forecasts, SPEC), 4)
 
 
-ALPHA = 0.3
-SMOOTHED = f"""select {K}, sum(w * Demand) / sum(w) as lvl,
-    sqrt(greatest(0.0::double, sum(w * Demand * Demand) / sum(w) - power(sum(w * Demand) / sum(w), 2))) as spr
-    from (select *, power(0.7::double, max(EffectiveDate) over (partition by CountryCode) - EffectiveDate) as w from ed)
-    group by {K}"""
-Z90 = 1.2815515655446004
-
-
 @query(
     "exp_smoothing",
-    sql("ed ed_grid", f"""select {GK}, g.EffectiveDate, g.ForecastDate, round(lvl - {Z90}::double * spr, 3) as p10,
-        round(lvl, 3) as p50, round(lvl + {Z90}::double * spr, 3) as p90
-        from (select * from ed_grid where EffectiveDate = (select max(EffectiveDate) from ed)) g
-        join sm h on {ON}""", sm=SMOOTHED),
+    sql("ed ed_grid", f"""select {K}, EffectiveDate, ForecastDate, {', '.join(f'round({q}, 3) as {q}' for q in Q)}
+        from es""", sm=SMOOTHED, es=SMOOTH),
 )
 def _(spark, sf):
     ed = staged(events_daily(spark, sf), "history")
-    scored = backtest(ed, ExponentialSmoothing(ALPHA, SPEC), latest_origin(ed))
+    scored = backtest(ed, ExponentialSmoothing(ALPHA, SPEC))
     return rounded(scored, 3).select(*KEYS, DATE, TARGET_DATE, *Q)
 
 

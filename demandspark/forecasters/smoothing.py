@@ -5,20 +5,40 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from statistics import NormalDist
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from demandspark.spec import COUNTRY, DATE, DEMAND, ForecastSpec
-from demandspark.staging import staged
+from demandspark.operators.grid import carry_forward
+from demandspark.shipping import ship_package
+from demandspark.spec import DATE, DEMAND, ForecastSpec
+
+
+def _states(rows: pd.DataFrame, keep: float) -> pd.DataFrame:
+    """Weighted mean and spread of one series up to each of its rows; a day's weight falls by ``keep``."""
+    rows = rows.sort_values(DATE)
+    days = pd.to_datetime(rows[DATE]).to_numpy().astype("datetime64[D]").astype(np.int64)
+    level, spread = np.empty(len(rows)), np.empty(len(rows))
+    weight = mean = moment = 0.0
+    for i, (gap, y) in enumerate(zip(np.diff(days, prepend=days[:1]), rows[DEMAND].to_numpy())):
+        fall = keep**gap
+        weight = weight * fall + 1.0
+        miss = y - mean
+        mean += miss / weight
+        moment = moment * fall + miss * (y - mean)
+        level[i], spread[i] = mean, np.sqrt(max(moment / weight, 0.0))
+    return rows.drop(columns=[DEMAND]).assign(level=level, spread=spread)
 
 
 @dataclass(frozen=True)
 class ExponentialSmoothing:
-    """Weights fall by ``1 - alpha`` for each day before the country's last date.
+    """Weights fall by ``1 - alpha`` for each day before a series' own latest row.
 
-    The smoothed level is a weighted mean, so it is a plain aggregate: combined
-    map-side, order-free, and indifferent to how long a series is. The band is normal
-    with the weighted variance.
+    The state after each row follows from the one before, so a series (bounded by the
+    calendar at daily grain) is one pass; origins take the latest state at or before them.
+    The band is normal with the weighted variance.
     """
 
     alpha: float = 0.3
@@ -28,36 +48,16 @@ class ExponentialSmoothing:
     needs_target: bool = False
 
     def fit(self, history: DataFrame) -> DataFrame:
-        last = staged(history.groupBy(COUNTRY).agg(F.max(DATE).alias("_last")), "last-dates")
-        age = F.datediff(F.col("_last"), F.col(DATE))
-        known = F.col(DEMAND).isNotNull()
-        moments = (
-            history.join(last, COUNTRY)
-            .where(known)
-            .withColumn("_w", F.pow(F.lit(1.0 - self.alpha), age))
-            .groupBy(*self.spec.keys)
-            .agg(
-                F.max(DATE).alias(DATE),
-                F.sum("_w").alias("_sw"),
-                F.sum(F.col("_w") * F.col(DEMAND)).alias("_swy"),
-                F.sum(F.col("_w") * F.col(DEMAND) * F.col(DEMAND)).alias("_swyy"),
-            )
-        )
-        level = F.try_divide("_swy", "_sw")
-        variance = F.greatest(F.lit(0.0), F.try_divide("_swyy", "_sw") - level * level)
-        return moments.select(
-            *self.spec.keys, DATE, level.alias("level"), F.sqrt(variance).alias("spread")
-        )
+        keep = 1.0 - self.alpha
+        rows = history.where(F.col(DEMAND).isNotNull()).select(*self.spec.keys, DATE, F.col(DEMAND).cast("double"))
+        kept = [rows.schema[c] for c in [*self.spec.keys, DATE]]
+        schema = T.StructType([*kept, T.StructField("level", T.DoubleType()), T.StructField("spread", T.DoubleType())])
+        ship_package(history.sparkSession)
+        return rows.groupBy(*self.spec.keys).applyInPandas(lambda series: _states(series, keep), schema)
 
     def predict(self, params: DataFrame, grid: DataFrame) -> DataFrame:
-        """Only origins at or after a series' last row are scored; earlier ones stay null."""
-        fitted = params.withColumnRenamed(DATE, "_until")
-        usable = F.col(DATE) >= F.col("_until")
-        levels = {
-            n: F.when(usable, F.col("level") + F.lit(NormalDist().inv_cdf(p)) * F.col("spread"))
+        carried = carry_forward(grid, params, self.spec.keys, ["level", "spread"])
+        return carried.select(*grid.columns, *[
+            (F.col("level") + F.lit(NormalDist().inv_cdf(p)) * F.col("spread")).alias(n)
             for n, p in self.spec.quantiles.levels
-        }
-        return (
-            grid.join(fitted, list(self.spec.keys), "left").withColumns(levels)
-            .select(*grid.columns, *self.spec.quantiles.names)
-        )
+        ])

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from demandspark.spec import Quantiles
 
 
+# A number as data files write it; a cast alone would also take suffixes such as 1.5d.
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$|(?i)^\s*[+-]?inf(inity)?\s*$"
+
+
 def to_number(c: Column) -> Column:
     """Text to double, unparseable cells and NaN to null."""
     number = c.try_cast("double")
-    return F.when(~F.isnan(number), number)
+    return F.when(~F.isnan(number) & c.cast("string").rlike(NUMBER), number)
 
 
 def strip_quotes(c: Column) -> Column:
@@ -24,9 +30,13 @@ def strip_thousands(c: Column) -> Column:
     return to_number(F.replace(c, F.lit(","), F.lit("")))
 
 
-def to_day(c: Column) -> Column:
-    """Day of a date, timestamp or text; an offset in the text is dropped, not applied."""
-    return c.try_cast("timestamp_ntz").cast("date")
+def to_day(c: Column, formats: Sequence[str] = ()) -> Column:
+    """Day of a date, timestamp or text; an offset in the text is dropped, not applied.
+
+    ``formats`` are date patterns tried in order before the ISO form.
+    """
+    tried = [F.try_to_date(c.cast("string"), f) for f in formats]
+    return F.coalesce(*tried, c.try_cast("timestamp_ntz").cast("date"))
 
 
 def weekday_name(c: Column) -> Column:

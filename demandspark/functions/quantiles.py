@@ -25,8 +25,6 @@ from pyspark.sql import functions as F
 
 from demandspark.staging import staged
 
-# Largest group left to the built-in percentile: some megabytes of distinct values.
-HOT_ROWS = 100_000
 _COARSE_PER_LOG_UNIT = 256
 _FINE_BUCKETS = 1024
 _NEVER_NULL = ("_all", "_b1", "_b2")
@@ -76,14 +74,11 @@ def exact_quantiles(
     value: str,
     probabilities: Sequence[float],
     names: Sequence[str],
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One row per group with the named quantiles of the non-null values.
 
-    Group sizes are counted first. Groups of up to ``hot_rows`` values go to the built-in
-    ``percentile``; larger ones are narrowed. ``hot_rows=0`` narrows all without counting.
-    ``df`` is scanned two to five times, so pass a table or a ``staged`` frame if it is
-    expensive to derive.
+    Every group is narrowed, whatever its size. ``df`` is scanned three times, so pass a
+    table or a ``staged`` frame if it is expensive to derive.
     """
     keys = list(keys)
     parts = keys or ["_all"]
@@ -92,28 +87,7 @@ def exact_quantiles(
         *keys, F.lit(0).alias("_all"), F.col(value).cast("double").alias("_x")
     ).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
 
-    if hot_rows == 0:
-        return _narrowed(values, parts, wanted).select(*keys, *names)
-    sizes = values.groupBy(*parts).agg(F.count("*").alias("_n"))
-    is_hot = F.col("_n") > hot_rows
-    found = sizes.agg(F.count_if(is_hot).alias("hot"), F.count_if(~is_hot).alias("small")).first()
-    if not found.hot:
-        return _builtin(values, parts, wanted).select(*keys, *names)
-    if not found.small:
-        return _narrowed(values, parts, wanted).select(*keys, *names)
-    # At most one hot group per ``hot_rows`` values.
-    hot = staged(sizes.where(is_hot).select(*parts), "hot-groups").alias("h")
-    on_hot = _same("v", "h", parts)
-    small = _builtin(values.alias("v").join(hot, on_hot, "left_anti"), parts, wanted)
-    large = _narrowed(values.alias("v").join(hot, on_hot, "left_semi"), parts, wanted)
-    return small.unionByName(large).select(*keys, *names)
-
-
-def _builtin(values: DataFrame, parts: list[str], wanted: dict[str, float]) -> DataFrame:
-    levels = F.percentile("_x", F.array(*[F.lit(p) for p in wanted.values()]))
-    return values.groupBy(*parts).agg(levels.alias("_q")).select(
-        *parts, *[F.col("_q")[i].alias(n) for i, n in enumerate(wanted)]
-    )
+    return _narrowed(values, parts, wanted).select(*keys, *names)
 
 
 def _narrowed(values: DataFrame, parts: list[str], wanted: dict[str, float]) -> DataFrame:

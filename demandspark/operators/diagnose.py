@@ -174,13 +174,9 @@ def branch_patterns(history: DataFrame, spec: ForecastSpec = ForecastSpec()) ->
         F.stddev_samp(DEMAND).alias("std"),
         F.sum(DEMAND).alias("total"),
     )
-    country_branch = [k for k in spec.keys if k in ("CountryCode", BRANCH)]
-    per_branch = per_series.groupBy(*country_branch).agg(F.sum("total").alias("_branch"))
-    return (
-        per_series.join(per_branch, country_branch)
-        .withColumn("share", F.try_divide("total", "_branch"))
-        .drop("_branch")
-    )
+    # One row for each series: the window over a branch is as small as its list of series.
+    branch = Window.partitionBy(*[k for k in spec.keys if k in ("CountryCode", BRANCH)])
+    return per_series.withColumn("share", F.try_divide(F.col("total"), F.sum("total").over(branch)))
 
 
 def seasonal_patterns(history: DataFrame, spec: ForecastSpec = ForecastSpec()) -> DataFrame:

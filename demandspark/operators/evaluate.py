@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,8 +23,9 @@ def describe_by(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """count, mean, std, min, quartiles and max of ``value`` per group, exact at any group size."""
     moments = df.groupBy(*keys).agg(*describe_columns(F.col(value)))
     quartiles = exact_quantiles(df, keys, value, list(QUARTILES.values()), list(QUARTILES))
-    return moments.join(quartiles, list(keys), "left").select(
-        *keys, "count", "mean", "std", "min", *[F.col(f"`{q}`") for q in QUARTILES], "max"
+    same = reduce(lambda a, b: a & b, [F.col(f"m.{k}").eqNullSafe(F.col(f"q.{k}")) for k in keys])
+    return moments.alias("m").join(quartiles.alias("q"), same, "left").select(
+        *[F.col(f"m.{k}").alias(k) for k in keys], "count", "mean", "std", "min", *[F.col(f"`{q}`") for q in QUARTILES], "max"
     )
 
 

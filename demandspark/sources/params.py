@@ -52,7 +52,8 @@ def write_params_json(params: DataFrame, path: str, mode: str = "errorifexists")
 
 def read_params_json(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
     """``whole_files`` is for indented objects, one file per country."""
-    return params_from_json(spark.read.text(path, wholetext=whole_files))
+    schema = f"value string, {COUNTRY} string"  # folder names are text
+    return params_from_json(spark.read.schema(schema).text(path, wholetext=whole_files))
 
 
 def scaling_metadata(params: DataFrame, generated_at: str, method: str = SCALING_METHOD) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from demandspark.functions.columns import strip_quotes, to_number
 from demandspark.operators.validate import require_columns
+from demandspark.sources.tables import read_text_columns
 from demandspark.spec import Quantiles
 from demandspark.staging import staged
 
@@ -29,19 +30,22 @@ def read_predictions_tail(
     spark: SparkSession, path: str, quantiles: Quantiles = Quantiles(), glob: str | None = None
 ) -> DataFrame:
     """Headerless files whose last columns are the quantiles; cells may be padded and quoted."""
-    reader = spark.read.option("header", False).option("inferSchema", False).option("quote", "")
+    reader = spark.read
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    raw = reader.csv(path)
-    tail = raw.columns[-len(quantiles.names):]
-    return _numeric(raw.select(*[F.col(c).alias(n) for c, n in zip(tail, quantiles.names)]), quantiles)
+    # The last fields of each line, so a file's width plays no part; a quoted field may hold commas.
+    field = r'(?:^|,)(\s*"(?:[^"]|"")*"\s*|[^,"]*)'
+    pattern = field * len(quantiles.names) + "$"
+    lines = reader.text(path).where(F.trim("value") != "")
+    cells = {n: F.regexp_extract("value", pattern, i + 1) for i, n in enumerate(quantiles.names)}
+    return _numeric(lines.select(*[c.alias(n) for n, c in cells.items()]), quantiles)
 
 
 def read_keyed_predictions(
     spark: SparkSession, path: str, keys: Sequence[str], quantiles: Quantiles = Quantiles()
 ) -> DataFrame:
     """Files with a header that carry the series keys beside the quantiles."""
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    raw = read_text_columns(spark, path)
     require_columns(raw, [*keys, *quantiles.names])
     return _numeric(raw, quantiles)
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,11 +19,60 @@ from demandspark.spec import BRANCH, COUNTRY, CURRENCY, DATE, DEMAND, PRODUCT, S
 WRITE_POLICIES = {"skip": "ignore", "raise": "errorifexists", "overwrite": "overwrite"}
 
 
-def _read_text_columns(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Header CSV with every column as text; types are set by name afterwards."""
-    return spark.read.option("header", True).option("inferSchema", False).csv(
-        [paths] if isinstance(paths, str) else list(paths)
-    )
+def _files(spark: SparkSession, paths: str | Sequence[str]) -> dict[str, list[str]]:
+    """Files under each path; only names are read."""
+    listed = [paths] if isinstance(paths, str) else list(paths)
+    return {
+        p: [r.path for r in spark.read.format("binaryFile").load(p).select("path").distinct().collect()] for p in listed
+    }
+
+
+def partition_names(files: Sequence[str]) -> list[str]:
+    """Names of the ``name=value`` folders on the way to ``files``, outermost first."""
+    return list(dict.fromkeys(x.split("=", 1)[0] for f in files for x in f.split("/")[:-1] if "=" in x))
+
+
+def read_text_columns(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Header CSV with every column as text, partition folders included.
+
+    Columns are matched by name: each file is read by its own header. Files with equal
+    headers are one scan; a file that lacks a column has nulls there.
+    """
+
+    def header(file: str) -> tuple[str, ...]:
+        line = spark.read.text(file).head()
+        return () if line is None else tuple(_header_fields(line.value))
+
+    scans: dict[tuple, list[str]] = {}
+    listed = _files(spark, paths)
+    with ThreadPoolExecutor(16) as pool:  # one line of each file
+        for base, files in listed.items():
+            for file, columns in zip(files, pool.map(header, files)):
+                if columns:
+                    scans.setdefault((base, columns, *partition_names([file])), []).append(file)
+    frames = []
+    for (base, columns, *folders), files in scans.items():
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, *folders]])
+        reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+        frames.append((reader.option("basePath", base) if folders else reader).csv(files))
+    if not frames:
+        return spark.read.option("header", True).csv([paths] if isinstance(paths, str) else list(paths))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def _header_fields(line: str) -> list[str]:
+    return next(csv.reader([line.removeprefix("\ufeff")]))
+
+
+def _read_text_keys(spark: SparkSession, paths: str | Sequence[str], fmt: str) -> DataFrame:
+    """Typed files, with partition folders as text: ``012`` is a key, not a number."""
+    listed = [paths] if isinstance(paths, str) else list(paths)
+    df = spark.read.format(fmt).load(listed)
+    folders = partition_names(df.inputFiles())
+    if not folders:
+        return df
+    fields = [T.StructField(f.name, T.StringType()) if f.name in folders else f for f in df.schema.fields]
+    return spark.read.schema(T.StructType(fields)).format(fmt).load(listed)
 
 
 def read_demand(
@@ -28,19 +80,25 @@ def read_demand(
     paths: str | Sequence[str],
     fmt: str = "csv",
     required: Sequence[str] = (PRODUCT, BRANCH, CURRENCY, DATE, DEMAND),
+    country: str | None = None,
+    country_from_file: bool = False,
+    date_formats: Sequence[str] = (),
 ) -> DataFrame:
     """Demand rows of one or many files; keys as text, dates as days, demand as double.
 
-    A cell that does not parse becomes null, so ``assert_no_nulls`` reports it.
+    Files of one country that do not name it get it from ``country``, or from their file
+    name up to its first dot or underscore (``country_from_file``). ``date_formats`` are
+    tried in order before ISO dates. A cell that does not parse becomes null, so
+    ``assert_no_nulls`` reports it.
     """
-    if fmt == "csv":
-        df = _read_text_columns(spark, paths)
-    else:
-        df = spark.read.format(fmt).load([paths] if isinstance(paths, str) else list(paths))
+    df = read_text_columns(spark, paths) if fmt == "csv" else _read_text_keys(spark, paths, fmt)
     require_columns(df, required)
+    if COUNTRY not in df.columns and (country is not None or country_from_file):
+        name = F.element_at(F.split(F.input_file_name(), "/"), -1)
+        df = df.withColumn(COUNTRY, F.lit(country) if country is not None else F.regexp_extract(name, r"^([^._]*)", 1))
     typed = {k: F.col(k).cast("string") for k in SERIES_KEYS if k in df.columns}
     if DATE in df.columns:
-        typed[DATE] = to_day(F.col(DATE))
+        typed[DATE] = to_day(F.col(DATE), date_formats)
     if DEMAND in df.columns:
         typed[DEMAND] = to_number(F.col(DEMAND))
     return df.withColumns(typed)
@@ -48,7 +106,7 @@ def read_demand(
 
 def read_template(spark: SparkSession, path: str) -> DataFrame:
     """Series to forecast, one row each, keys as text."""
-    df = _read_text_columns(spark, path)
+    df = read_text_columns(spark, path)
     require_columns(df, [PRODUCT, BRANCH, CURRENCY])
     return df.withColumns({k: F.col(k).cast("string") for k in SERIES_KEYS if k in df.columns})
 

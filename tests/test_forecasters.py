@@ -90,22 +90,28 @@ def test_seasonal_naive(history, data):
 
 
 def test_exponential_smoothing(history, data):
-    scored = backtest(history, ExponentialSmoothing(0.4, SPEC), latest_origin(history))
     z = NormalDist().inv_cdf(0.9)
-    last = {"ZM": day(39), "ZA": day(11)}
-    for r in scored.collect():
+    seen = 0
+    for r in backtest(history, ExponentialSmoothing(0.4, SPEC)).collect():
         h = dated(data, (r.ProductId, r.BranchId, r.CountryCode, r.Currency))
-        w = np.array([0.6 ** (last[r.CountryCode] - d).days for d in h])
-        y = np.array(list(h.values()))
+        past = {d: v for d, v in h.items() if d <= r.EffectiveDate}
+        if not past:
+            assert (r.p10, r.p50, r.p90) == (None, None, None)
+            continue
+        w = np.array([0.6 ** (max(past) - d).days for d in past])
+        y = np.array(list(past.values()))
         level = (w * y).sum() / w.sum()
         spread = math.sqrt((w * (y - level) ** 2).sum() / w.sum())
         assert (r.p10, r.p50, r.p90) == pytest.approx((level - z * spread, level, level + z * spread), rel=1e-6)
+        seen += 1
+    assert seen > 300
 
 
-def test_smoothing_scores_no_origin_before_the_last_row(history):
-    scored = backtest(history, ExponentialSmoothing(0.4, SPEC))
-    early = scored.where(F.col("ProductId") == "18").where("CountryCode = 'ZM'").where(F.col("EffectiveDate") < day(39))
-    assert early.count() > 0 and early.where("p50 is not null").isEmpty()
+def test_smoothing_of_a_series_that_ended_long_ago(spark):
+    old = demand(spark, {A: [1, 2]}).withColumn("EffectiveDate", F.date_sub("EffectiveDate", 3000))
+    both = old.union(demand(spark, {B: [4, 5]}))
+    scored = backtest(both, ExponentialSmoothing(0.4, SPEC), latest_origin(both))
+    assert scored.where("p50 is null").isEmpty()
 
 
 def test_lag_regression_matches_least_squares(spark, history, data):
@@ -159,7 +165,14 @@ def test_iterative_forecast_of_a_short_series_grows_its_tail(spark):
     assert out == [("18", 1, 1.5), ("18", 2, 1.5), ("18", 3, 1.5), ("7", 1, 4.0), ("7", 2, 4.0), ("7", 3, 4.0)]
 
 
-MODELS = [TrailingQuantile(SPEC), WeekdayQuantile(SPEC), SeasonalNaive(SPEC)]
+def test_iterative_forecast_keeps_series_without_demand(spark):
+    df = demand(spark, {A: [1, 2], B: [4]})
+    df = df.withColumn("Demand", F.when(F.col("ProductId") == "18", F.col("Demand")))
+    out = rows(iterative_forecast(df, ForecastSpec(trailing_rows=4, iterative_steps=2)), "ProductId", "ForecastStep", "p50")
+    assert out == [("18", 1, 1.5), ("18", 2, 1.5), ("7", 1, None), ("7", 2, None)]
+
+
+MODELS = [TrailingQuantile(SPEC), WeekdayQuantile(SPEC), SeasonalNaive(SPEC), ExponentialSmoothing(0.4, SPEC)]
 
 
 @pytest.mark.parametrize("model", MODELS, ids=lambda m: m.name)

@@ -2,6 +2,8 @@
 
 from types import SimpleNamespace
 
+from datetime import date
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -42,6 +44,24 @@ def test_read_demand_of_many_files_and_parquet(spark, tmp_path):
     assert rows(read_demand(spark, str(tmp_path / "p"), "parquet"), *df.columns) == rows(df, *df.columns)
 
 
+def test_columns_are_matched_by_name_over_files(spark, tmp_path):
+    (tmp_path / "ZM_1.csv").write_text("ProductId,BranchId,Currency,EffectiveDate,Demand\n18,011,USD,05/01/2023,5\n")
+    (tmp_path / "ZA.csv").write_text("BranchId,ProductId,Demand,Currency,EffectiveDate\n012,7,6,ZAR,20230201\n")
+    both = read_demand(spark, str(tmp_path), country_from_file=True, date_formats=["MM/dd/yyyy", "yyyyMMdd"])
+    assert rows(both, "ProductId", "BranchId", "CountryCode", "EffectiveDate", "Demand") == [
+        ("18", "011", "ZM", date(2023, 5, 1), 5.0), ("7", "012", "ZA", date(2023, 2, 1), 6.0),
+    ]
+    one = read_demand(spark, [str(tmp_path / "ZA.csv")], country="ZA", date_formats=["yyyyMMdd"])
+    assert rows(one, "CountryCode", "EffectiveDate") == [("ZA", date(2023, 2, 1))]
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_folder_keys_stay_text(spark, tmp_path, fmt):
+    df = demand(spark, {A: [1]}).withColumn("CountryCode", F.lit("012"))
+    write_run(df, str(tmp_path / "r"), "20240131-000000", fmt=fmt)
+    assert rows(read_demand(spark, str(tmp_path / "r"), fmt), "CountryCode", "run_ts") == [("012", "20240131-000000")]
+
+
 def test_write_policies(spark, tmp_path):
     path = str(tmp_path / "out")
     one, two = demand(spark, {A: [1]}), demand(spark, {A: [2]})
@@ -84,8 +104,9 @@ def test_headerless_predictions(spark, tmp_path):
 
 def test_last_columns_padded_and_quoted(spark, tmp_path):
     (tmp_path / "a.out").write_text('18,11, "1.5" ,"2.5", 3.5\n18,12,"x",  "4","5"\n')
+    (tmp_path / "b.out").write_text('"a,b",1,2,3\nk,0,"x,y",4,5d,6\n')
     df = read_predictions_tail(spark, str(tmp_path))
-    assert rows(df, "p10", "p50", "p90") == [(1.5, 2.5, 3.5), (None, 4.0, 5.0)]
+    assert rows(df, "p10", "p50", "p90") == [(1.0, 2.0, 3.0), (1.5, 2.5, 3.5), (4.0, None, 6.0), (None, 4.0, 5.0)]
 
 
 def test_keyed_predictions(spark, tmp_path):
