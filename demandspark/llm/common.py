@@ -15,7 +15,10 @@ from demandspark.shipping import ship_package
 from demandspark.staging import staged
 
 # Text handed to Python code at once; a longer text comes alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
+BATCH_ROWS = 1000
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+Run = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 # Columns that name a stored row: hash of its file's path, and its place in that file.
 ROW = ["_rf", "_ri"]
 
@@ -64,22 +67,35 @@ def _slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start)
 
 
-def arrow_stage(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
-    """``df.mapInArrow`` by a function of this package, wherever the workers run."""
-    ship_package(df.sparkSession)
-    return df.mapInArrow(run, schema)
+def arrow_stage(df: DataFrame, run: Run, schema) -> DataFrame:
+    """``df.mapInArrow`` by a function of this package, wherever the workers run.
 
+    Rows with whole texts are large: the session's Arrow batches are brought down to
+    BATCH_ROWS, which bounds the buffers on both sides of the pipe, and a worker gives
+    back what its Arrow pool holds when a task ends.
+    """
+    spark = df.sparkSession
+    ship_package(spark)
+    if int(spark.conf.get(_BATCH_CONF, "10000")) > BATCH_ROWS:
+        spark.conf.set(_BATCH_CONF, str(BATCH_ROWS))
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(whole, schema)
 
-def text_stage(
-    df: DataFrame, text: str, out: str | T.StructType, make: Callable[[], Callable[[list], dict]]
-) -> DataFrame:
-    """One narrow Arrow stage: the columns of ``df`` other than ``text`` and the columns of ``out``.
+
+def text_function(
+    fields: T.StructType, text: str, out: str, make: Callable[[], Callable[[list], dict]]
+) -> tuple[Run, T.StructType]:
+    """A function for ``arrow_stage`` and its schema: ``fields`` without ``text``, then ``out``.
 
     ``make()`` runs once in each task and gives a function from a list of texts (None for
     null) to equally long columns by name.
     """
-    added = T._parse_datatype_string(out) if isinstance(out, str) else out
-    kept = [f for f in df.schema.fields if f.name != text]
+    added = T._parse_datatype_string(out)
+    kept = [f for f in fields.fields if f.name != text]
     schema = T.StructType(kept + added.fields)
     arrow = to_arrow_schema(schema)
 
@@ -99,7 +115,34 @@ def text_stage(
                     [a.cast(t) if a.type != t else a for a, t in zip(arrays, arrow.types)], schema=arrow
                 )
 
-    return arrow_stage(df, run, schema)
+    return run, schema
+
+
+def text_stage(df: DataFrame, text: str, out: str, make: Callable[[], Callable[[list], dict]]) -> DataFrame:
+    """One narrow Arrow stage by ``text_function``."""
+    return arrow_stage(df, *text_function(df.schema, text, out, make))
+
+
+class Cache(dict):
+    """Results of ``make`` by key, in two generations of at most ``entries`` each.
+
+    When the young one is full it becomes the old one; what is asked for again moves back.
+    Keys longer than ``longest`` are made anew each time.
+    """
+
+    def __init__(self, make: Callable, entries: int, longest: int):
+        self._make, self._entries, self._longest, self._old = make, entries, longest, {}
+
+    def __missing__(self, key):
+        value = self._old.get(key)
+        if value is None:
+            value = self._make(key)
+        if len(key) <= self._longest:
+            if len(self) >= self._entries:
+                self._old = dict(self)
+                self.clear()
+            self[key] = value
+        return value
 
 
 def partition_count(spark: SparkSession) -> int:

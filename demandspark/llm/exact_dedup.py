@@ -26,9 +26,10 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -91,19 +92,32 @@ def _messages(prints: DataFrame, bits: int, owner_bits: int) -> DataFrame:
     )
 
 
-def _answer(messages: pd.DataFrame) -> pd.DataFrame:
-    """An owner's bitmap for each message: which entries occur more than once in all."""
-    rows = list(messages.itertuples(index=False))
-    values = [golomb.decode(r.n, r.k, r.unary, r.remainders) for r in rows]
-    local = [np.unpackbits(np.frombuffer(r.again, np.uint8), count=r.n).astype(bool) for r in rows]
+def _bitmaps(messages: list[dict]) -> list[tuple[int, int, bytes]]:
+    """An owner's answers (owner, sender, bitmap): which entries occur more than once in all."""
+    values = [golomb.decode(m["n"], m["k"], m["unary"], m["remainders"]) for m in messages]
+    local = [np.unpackbits(np.frombuffer(m["again"], np.uint8), count=m["n"]).astype(bool) for m in messages]
     found, counts = np.unique(np.concatenate(values), return_counts=True)
     many = counts > 1
     many[np.searchsorted(found, np.concatenate([v[x] for v, x in zip(values, local)]))] = True
     bitmaps = [many[np.searchsorted(found, v)] for v in values]
-    return pd.DataFrame(
-        [(r.owner, r.sender, np.packbits(b).tobytes()) for r, b in zip(rows, bitmaps) if b.any()],
-        columns=["owner", "sender", "bitmap"],
-    )
+    return [(m["owner"], m["sender"], np.packbits(b).tobytes()) for m, b in zip(messages, bitmaps) if b.any()]
+
+
+def _answers(sent: DataFrame) -> DataFrame:
+    """(owner, sender, bitmap) for each message with a repeated entry."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for batch in batches for row in batch.to_pylist())
+        for _, messages in groupby(rows, key=itemgetter("owner")):
+            if found := _bitmaps(list(messages)):
+                owner, sender, bitmap = zip(*found)
+                yield pa.RecordBatch.from_pydict({
+                    "owner": pa.array(owner, pa.int64()), "sender": pa.array(sender, pa.int64()),
+                    "bitmap": pa.array(bitmap, pa.binary()),
+                })
+
+    dealt = sent.repartition(partition_count(sent.sparkSession), "owner").sortWithinPartitions("owner", "sender")
+    return arrow_stage(dealt, run, "owner long, sender long, bitmap binary")
 
 
 def _repeated(inner: int):
@@ -127,7 +141,7 @@ def suspects(prints: DataFrame) -> DataFrame:
     owners = max(partition_count(prints.sparkSession), rows // _ENTRIES_OF_OWNER)
     owner_bits = min(bits - 1, max(1, math.ceil(math.log2(owners))))
     sent = staged(_messages(prints, bits, owner_bits), "fingerprint-messages")
-    answers = sent.groupBy("owner").applyInPandas(_answer, "owner long, sender long, bitmap binary")
+    answers = staged(_answers(sent), "fingerprint-bitmaps")
     named = (
         arrow_stage(sent.join(answers, ["owner", "sender"]), _repeated(bits - owner_bits), "short long").distinct()
     )
@@ -140,10 +154,10 @@ def duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
     prints = staged(fingerprints(docs, id_col, text), "fingerprints")
     alike = staged(suspects(prints).select(*ROW, "id", "chars", "sha"), "suspects")
 
-    bare = F.regexp_replace(F.coalesce(F.col(f"rec.{text}"), F.lit("")), r"[\x20\x09-\x0D]", "")
+    bare = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]", "")
     same = (
-        keyed(docs).select(*ROW, bare.alias("bare")).join(alike.select(*ROW), ROW, "left_semi")
-        .groupBy("bare").agg(F.count("*").alias("group_size"))
+        keyed(docs).select(*ROW, F.col(f"rec.{text}").alias("text")).join(alike.select(*ROW), ROW, "left_semi")
+        .groupBy(bare.alias("bare")).agg(F.count("*").alias("group_size"))
         .where("group_size > 1")
     )
     groups = staged(same.select(F.unhex(F.sha2("bare", 256)).alias("sha"), "group_size"), "verified-groups")

@@ -22,11 +22,11 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.llm.common import table, text_stage
+from demandspark.llm.common import Cache, table, text_stage
 from demandspark.llm.pretokens import is_blank, split
 from demandspark.llm.registry import query
 
-CACHE_ENTRIES = 700_000
+CACHE_ENTRIES = 300_000
 _CACHED_CHARS = 64
 
 
@@ -51,36 +51,28 @@ def read_vocabulary(path: str) -> tuple[dict[bytes, int], tuple[str, ...]]:
     return ranks, special
 
 
-class PrefixCounter(dict):
+class PrefixCounter(Cache):
     """Pre-token to the token counts of its prefixes, by code points; the last is its own."""
 
     def __init__(self, path: str, entries: int = CACHE_ENTRIES):
         import tiktoken
 
+        super().__init__(self._counts, entries, _CACHED_CHARS)
         self.ranks, self.special = read_vocabulary(path)
         merges = tiktoken.Encoding("pieces", pat_str=r"\S+", mergeable_ranks=self.ranks, special_tokens={})
         self._merge = merges._encode_single_piece
         self._longest = max(map(len, self.ranks), default=0)
         self._tokens = {i: t for t, i in self.ranks.items()}
         self._stable: dict[int, bool] = {}
-        self._entries = entries
         self._before: tuple = b"", [0], [0]
 
     def _leaves_alone(self, a: int, b: int) -> bool:
         """Whether merging the bytes of two tokens gives these two tokens again."""
-        if len(self._stable) >= self._entries:
+        if len(self._stable) >= 2 * self._entries:
             self._stable.clear()
         alone = self._stable[a << 20 | b] = self._merge(self._tokens[a] + self._tokens[b]) == [a, b]
         return alone
 
-    def __missing__(self, piece: str):
-        counts = self._counts(piece)
-        if len(piece) <= _CACHED_CHARS:
-            if len(self) >= self._entries:
-                self.clear()
-            self[piece] = counts
-        return counts
-
     def _counts(self, piece: str):
         raw = piece.encode()
         n, rank_of, stable = len(raw), self.ranks.get, self._stable

@@ -55,10 +55,10 @@ def test_offsets_are_token_ends(spark, odd):
 
 
 def test_a_full_cache_changes_nothing(library):
-    merger = byte_bpe.Merger(byte_bpe.read_ranks(RANKS), entries=3)
+    cache = byte_bpe.merger(byte_bpe.read_ranks(RANKS), entries=3)
     for text in random_texts(200):
         (pieces, _), = split([text])
-        ids = np.frombuffer(b"".join(merger[p] for p in pieces), "<u4").tolist()
+        ids = np.frombuffer(b"".join(cache[p] for p in pieces), "<u4").tolist()
         assert ids == library.encode_ordinary(text)
 
 
