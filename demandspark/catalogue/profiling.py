@@ -6,18 +6,19 @@ from pyspark.sql import functions as F
 
 from demandspark.catalogue.fixtures import table
 from demandspark.catalogue.registry import query, rounded
+from demandspark.operators.evaluate import describe_by
 from demandspark.operators.profile import (
-    box_stats, column_profile, correlation_matrix, histogram, jarque_bera, prediction_sentinels,
+    box_stats, column_profile, correlation_matrix, histogram, jarque_bera, melt, numeric_columns, prediction_sentinels,
 )
 
-NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 # Column types of the line item table.
 TYPES = {
     "l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int",
     "l_quantity": "double", "l_extendedprice": "double", "l_discount": "double", "l_tax": "double",
     "l_returnflag": "string", "l_linestatus": "string", "l_shipdate": "timestamp_ntz",
 }
-MELTED = " union all ".join(f"select '{c}' as \"column\", {c} as v from lineitem" for c in NUMERIC)
+NUMERIC = [c for c, t in TYPES.items() if t not in ("string", "timestamp_ntz")]
+MELTED = " union all ".join(f"select '{c}' as \"column\", cast({c} as double) as v from lineitem" for c in NUMERIC)
 
 
 def _lineitem(spark, sf):
@@ -87,6 +88,17 @@ def _(spark, sf):
     return rounded(rounded(screened, 3, "jarque_bera"), 6, "skewness", "excess_kurtosis", "p_value")
 
 
+@query(
+    "describe_table",
+    f"""with m as ({MELTED}) select "column", count(v) as count, round(avg(v), 4) as mean, round(stddev_samp(v), 4) as std,
+        round(min(v), 4) as min, round(quantile_cont(v, 0.25), 4) as "25%", round(quantile_cont(v, 0.5), 4) as "50%",
+        round(quantile_cont(v, 0.75), 4) as "75%", round(max(v), 4) as max from m group by 1""",
+)
+def _(spark, sf):
+    lineitem = _lineitem(spark, sf)
+    return rounded(describe_by(melt(lineitem, numeric_columns(lineitem)), ["column"], "value"), 4)
+
+
 @query(
     "prediction_sentinels",
     """select c as "column", count(v) as n_present, count(*) filter (where v = 'ERROR') as n_sentinel from (

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandspark.functions.columns import safe_scale
-from demandspark.operators.validate import assert_empty
+from demandspark.operators.validate import refuse
 from demandspark.sources.params import PARAM_FIELDS
 from demandspark.spec import DATE, DEMAND, PRODUCT, SCALING_KEYS
 from demandspark.staging import staged
@@ -111,9 +111,9 @@ def validated_params(params: DataFrame, keys: Sequence[str] = SCALING_KEYS) -> D
     """Fail on empty or incoherent parameters."""
     if params.isEmpty():
         raise ValueError("scaling parameters are empty")
-    assert_empty(scaling_violations(params, keys), "invalid scaling parameters")
+    refuse(scaling_violations(params, keys), "invalid scaling parameters")
     return params
 
 
 def require_groups(template: DataFrame, params: DataFrame, keys: Sequence[str] = SCALING_KEYS) -> None:
-    assert_empty(missing_groups(template, params, keys), "no scaling parameters for")
+    refuse(missing_groups(template, params, keys), "no scaling parameters for")

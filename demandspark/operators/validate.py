@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandspark.spec import DATE, SERIES_KEYS
+from demandspark.staging import staging_path
 
 
 def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -44,14 +45,15 @@ def assert_daily_grain(df: DataFrame, keys: Sequence[str] = SERIES_KEYS, date: s
     Window operators rely on this grain: it bounds a series by the calendar, however
     large its share of the raw rows was.
     """
-    repeated = df.groupBy(*keys, date).count().where("count > 1").limit(5).collect()
-    if repeated:
-        raise ValueError(f"more than one row per series and day: {repeated}")
+    refuse(df.groupBy(*keys, date).count().where("count > 1"), "more than one row per series and day")
     return df
 
 
-def assert_empty(violations: DataFrame, message: str) -> None:
-    """Fail with the first rows of a table that should be empty."""
-    rows = violations.limit(20).collect()
-    if rows:
-        raise ValueError(f"{message}: {[r.asDict() for r in rows]}")
+def refuse(violations: DataFrame, message: str) -> None:
+    """Fail if there is a row: with their number, the path of the whole table, and the first few."""
+    path = staging_path(violations.sparkSession, "violations")
+    violations.write.parquet(path)
+    found = violations.sparkSession.read.schema(violations.schema).parquet(path)
+    n = found.count()
+    if n:
+        raise ValueError(f"{message}: {n} rows, all in {path}: {[r.asDict() for r in found.take(20)]}")

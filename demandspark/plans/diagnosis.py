@@ -11,6 +11,7 @@ from demandspark.operators.diagnose import (
     autocorrelation, branch_patterns, forecast_consistency, iqr_outliers, outlier_report,
     outliers_by_weekday, seasonal_patterns,
 )
+from demandspark.operators.validate import assert_daily_grain
 from demandspark.spec import ForecastSpec
 
 
@@ -22,6 +23,7 @@ def full_diagnosis(
     ``history`` and ``evaluation`` feed several sections: pass tables or staged frames
     when they are expensive to derive.
     """
+    assert_daily_grain(history, spec.keys)
     keys = [k for k in spec.keys if k in wanted.columns]
     wanted = wanted.select(*keys).distinct()
     rows = history.join(wanted, keys, "left_semi")

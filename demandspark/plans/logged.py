@@ -11,6 +11,7 @@ from demandspark.operators.prepare import (
     country_name, log_transform, repair_nonpositive, series_template,
 )
 from demandspark.operators.reshape import order_quantiles, unlog_quantiles
+from demandspark.operators.validate import assert_daily_grain
 from demandspark.spec import (
     BRANCH, COUNTRY, COUNTRY_NAME, CURRENCY, DATE, PRODUCT, TARGET_DATE,
 )
@@ -27,6 +28,7 @@ def logged_forecast(
     ``inverse_passes=2`` undoes the log once more after the quantiles were ordered.
     """
     spec = forecaster.spec
+    assert_daily_grain(history, spec.keys)
     origins = all_origins(history) if origins is None else origins
     logged = log_transform(repair_nonpositive(history))
     grid = origin_grid(series_template(history, spec.keys), origins)

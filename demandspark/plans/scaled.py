@@ -16,6 +16,7 @@ from demandspark.operators.reshape import forecast_long, order_quantiles, pivot_
 from demandspark.operators.scaling import (
     apply_scaling, inverse_scaling, require_groups, scaling_params, unused_groups, validated_params,
 )
+from demandspark.operators.validate import assert_daily_grain
 from demandspark.sources.params import stats_report
 
 
@@ -59,6 +60,7 @@ def scaled_forecast(
 ) -> DataFrame:
     """Wide forecasts, by default from the last date of each country."""
     spec = forecaster.spec
+    assert_daily_grain(history, spec.keys)
     origins = latest_origin(history) if origins is None else origins
     run = score_scaled(train_scaled(history, forecaster), forecaster, origins)
     return pivot_forecast(forecast_long(run.forecasts, spec), spec)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from demandspark.operators.validate import refuse
 from demandspark.spec import BRANCH, COUNTRY, CURRENCY, DEMAND, ForecastSpec
 
 # Field names, key separators and texts of the JSON forms.
@@ -75,9 +76,7 @@ def metadata_rows(lines: DataFrame) -> DataFrame:
     present = F.json_object_keys("value")
     required = F.array(*[F.lit(k) for k in METADATA_KEYS])
     missing = lines.select(F.array_except(required, F.coalesce(present, F.array())).alias("missing"))
-    bad = missing.where(F.size("missing") > 0).limit(5).collect()
-    if bad:
-        raise ValueError(f"scaling metadata lacks {[r.missing for r in bad]}")
+    refuse(missing.where(F.size("missing") > 0), "scaling metadata lacks required keys")
     schema = (
         "scaling_method string, scaling_level string, scaled_column string, "
         f"scaling_stats map<string,{STATS_TYPE}>, generated_at string, country_code string"

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandspark.functions.columns import strip_quotes, to_number
-from demandspark.operators.validate import require_columns
+from demandspark.operators.validate import refuse, require_columns
 from demandspark.sources.tables import read_text_columns
 from demandspark.spec import Quantiles
 from demandspark.staging import staged
@@ -108,7 +108,5 @@ def align_by_position(requests: DataFrame, predictions: DataFrame) -> DataFrame:
         .join(predictions.groupBy("file").agg(F.count("*").alias("predictions")), "file", "full")
         .where(~F.col("requests").eqNullSafe(F.col("predictions")))
     )
-    bad = uneven.limit(5).collect()
-    if bad:
-        raise ValueError(f"request and prediction files differ in length: {bad}")
+    refuse(uneven, "request and prediction files differ in length")
     return requests.join(predictions, ["file", "row"]).drop("file", "row")

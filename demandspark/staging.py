@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,11 +23,11 @@ _local_roots: dict[str, str] = {}
 def staging_root(spark: SparkSession) -> str:
     """The shared folder named by the session, or a temporary one in local mode only."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    app = spark.sparkContext.applicationId
     if named:
-        return f"{named.rstrip('/')}/demandspark"
+        return f"{named.rstrip('/')}/demandspark/{app}"
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    app = spark.sparkContext.applicationId
     if app not in _local_roots:
         _local_roots[app] = tempfile.mkdtemp(prefix="demandspark-")
     return _local_roots[app]
@@ -44,6 +46,21 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear_staging(spark: SparkSession) -> None:
+    """Delete what this application has staged; results that were not written are lost with it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(staging_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[SparkSession]:
+    """``with staging(spark): ...`` - staged tables are deleted at the end. Write results inside."""
+    try:
+        yield spark
+    finally:
+        clear_staging(spark)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Fix the partition count before rows are multiplied.
 
