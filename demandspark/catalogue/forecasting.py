@@ -309,12 +309,60 @@ def _(spark, sf):
     return rounded(scored, 3).select(*KEYS, DATE, TARGET_DATE, *Q)
 
 
+HOLIDAY = "2024-01-01"
+# Features of (series, origin, target) rows: the latest demand, and the latest on the target's weekday.
+LAGGED = """select g.*, coalesce(wk.Demand, dy.Demand) as lag_week, dy.Demand as lag_day,
+    cast(g.ForecastDate - g.EffectiveDate as double) as lead, case when g.ForecastDate = date '{holiday}' then 1.0::double else 0 end as holiday
+    from (select *, dayname(ForecastDate) as wd from {source}) g
+    asof left join ed dy on {dy} and g.EffectiveDate >= dy.EffectiveDate
+    asof left join (select *, dayname(EffectiveDate) as wd from ed) wk on {wk} and g.wd = wk.wd and g.EffectiveDate >= wk.EffectiveDate"""
+
+
+def _lagged(source: str) -> str:
+    on = lambda t: " and ".join(f"g.{k} = {t}.{k}" for k in KEYS)
+    return LAGGED.format(holiday=HOLIDAY, source=source, dy=on("dy"), wk=on("wk"))
+
+
+def _holidays(spark):
+    return spark.createDataFrame([("ZM", HOLIDAY, "New Year")], "CountryCode string, date string, holiday string").withColumn(
+        "date", F.col("date").cast("date")
+    )
+
+
+@query(
+    "lag_features",
+    sql("ed ed_grid", f"""select {K}, EffectiveDate, ForecastDate, round(lag_day, 4) as lag_day, round(lag_week, 4) as lag_week,
+        lead, holiday, case when wd = 'Monday' then 1.0::double else 0 end as "is_Monday" from l""", l=_lagged("ed_grid")),
+)
+def _(spark, sf):
+    ed = staged(events_daily(spark, sf), "history")
+    grid = with_horizon(origin_grid(series_template(ed), all_origins(ed)), SPEC)
+    rows = LagRegression(_holidays(spark), SPEC).with_features(grid, ed)
+    return rounded(rows, 4).select(*KEYS, DATE, TARGET_DATE, "lag_day", "lag_week", "lead", "holiday", "is_Monday")
+
+
+@query(
+    "lag_scoring",
+    sql("ed ed_grid", f"""select {GK}, g.EffectiveDate, g.ForecastDate,
+        {', '.join(f'round(0.5 * (lag_day + lag_week) + coalesce(h.{q}, 0), 4) as {q}' for q in Q)}
+        from l g asof left join misses h on {ON} and g.lead = h.lead and g.EffectiveDate >= h.EffectiveDate""",
+        seen=f"""select {K}, cast(EffectiveDate - cast(j as integer) as date) as EffectiveDate, EffectiveDate as ForecastDate,
+            Demand as label from ed cross join range(1, {SPEC.horizon + 1}) r(j)""",
+        trained=_lagged("seen"), l=_lagged("ed_grid"),
+        misses=f"""select {K}, lead, ForecastDate as EffectiveDate,
+            {', '.join(f'quantile_cont(label - 0.5 * (lag_day + lag_week), {p}) over w as {q}' for q, p in SPEC.quantiles.levels)}
+            from trained where lag_day is not null
+            window w as (partition by {K}, lead order by ForecastDate rows between {SPEC.trailing_rows - 1} preceding and current row)"""),
+)
+def _(spark, sf):
+    """The regression with its weights held at the mean of the two lags."""
+    model = LagRegression(_holidays(spark), SPEC, ridge=None)
+    return rounded(backtest(staged(events_daily(spark, sf), "history"), model), 4).select(*KEYS, DATE, TARGET_DATE, *Q)
+
+
 @query("lag_regression")
 def _(spark, sf):
-    days = spark.createDataFrame(
-        [("ZM", "2024-01-01", "New Year")], "CountryCode string, date string, holiday string"
-    ).withColumn("date", F.col("date").cast("date"))
-    return rounded(backtest(staged(events_daily(spark, sf), "history"), LagRegression(days, SPEC)), 4)
+    return rounded(backtest(staged(events_daily(spark, sf), "history"), LagRegression(_holidays(spark), SPEC)), 4)
 
 
 SCALED_STATES = f"""select {K}, EffectiveDate, quantile_cont(z, 0.1) over w as p10,
