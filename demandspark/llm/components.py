@@ -15,8 +15,7 @@ from demandspark.staging import staged
 
 
 def _hang(edges: DataFrame) -> DataFrame:
-    """Edges (n, m): every m of a node n on the smallest of n and its m."""
-    edges = staged(edges, "star-edges")
+    """(n, m, low) of edges (n, m) made from a staged table: low is the smallest of n and its m."""
     low = staged(edges.groupBy("n").agg(F.min("m").alias("low")), "star-minima")
     return edges.join(low.select("n", F.least("n", "low").alias("low")), "n")
 
