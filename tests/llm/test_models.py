@@ -141,9 +141,10 @@ def test_secrets_of_an_empty_table(spark, empty):
 
 def test_quality_on_labelled_documents(spark):
     sf = "/root/testdata/sf0.1"
-    rows = quality.op1_quality(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").collect()
-    good = [r["kept"] for r in rows if r["quality"] == 1]
-    bad = [r["kept"] for r in rows if r["quality"] == 0]
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality").toDF("doc_id", "label")
+    rows = quality.op1_quality(spark, sf).join(labels, "doc_id").collect()
+    good = [r["kept"] for r in rows if r["label"] == 1]
+    bad = [r["kept"] for r in rows if r["label"] == 0]
     assert np.mean(good) > 0.98 and np.mean(bad) < 0.15
 
 
