@@ -2,6 +2,7 @@
 
 from types import SimpleNamespace
 
+import os
 from datetime import date
 
 import pytest
@@ -12,7 +13,7 @@ from demandspark.sources.predictions import (
     with_file_rows,
 )
 from demandspark.sources.tables import read_demand, read_template, write_run, write_table
-from demandspark.staging import spread, staged, staging_root
+from demandspark.staging import staging, spread, staged, staging_root
 from tests.helpers import A, B, C, day, demand, rows
 
 CSV = """ProductId,BranchId,CountryCode,Currency,EffectiveDate,Demand,Note
@@ -145,13 +146,20 @@ def test_rows_are_numbered_through_all_splits_of_a_file(spark, tmp_path):
 
 def test_staging_uses_the_folder_the_session_names(spark):
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    assert staging_root(spark) == f"{named}/demandspark"
+    assert staging_root(spark) == f"{named}/demandspark/{spark.sparkContext.applicationId}"
     df = demand(spark, {A: [1], B: [2]})
     again = staged(df, "x")
     assert rows(again, *df.columns) == rows(df, *df.columns) and again.schema == df.schema
     assert all(named in f for f in again.inputFiles())
 
 
+def test_staged_tables_can_be_cleared(spark):
+    with staging(spark):
+        (file,) = staged(demand(spark, {A: [1]}).coalesce(1), "x").inputFiles()
+        assert os.path.exists(file.removeprefix("file://"))
+    assert not os.path.exists(file.removeprefix("file://"))
+
+
 def test_staging_without_a_named_folder():
     def session(master):
         context = SimpleNamespace(master=master, applicationId=f"test-{master}", getCheckpointDir=lambda: None)
