@@ -18,6 +18,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
+_runs: list[str] = []  # folders of the open ``staging`` blocks
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -25,12 +26,12 @@ def staging_root(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     app = spark.sparkContext.applicationId
     if named:
-        return f"{named.rstrip('/')}/demandspark/{app}"
+        return "/".join([named.rstrip("/"), "demandspark", app, *_runs])
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     if app not in _local_roots:
         _local_roots[app] = tempfile.mkdtemp(prefix="demandspark-")
-    return _local_roots[app]
+    return "/".join([_local_roots[app], *_runs])
 
 
 def staging_path(spark: SparkSession, label: str) -> str:
@@ -47,18 +48,20 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 
 
 def clear_staging(spark: SparkSession) -> None:
-    """Delete what this application has staged; results that were not written are lost with it."""
+    """Delete what this application (or the open ``staging`` block) has staged; unwritten results are lost."""
     path = spark._jvm.org.apache.hadoop.fs.Path(staging_root(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[SparkSession]:
-    """``with staging(spark): ...`` - staged tables are deleted at the end. Write results inside."""
+    """``with staging(spark): ...`` - tables staged inside are deleted at the end. Write results inside."""
+    _runs.append(f"run-{uuid.uuid4().hex}")
     try:
         yield spark
     finally:
         clear_staging(spark)
+        _runs.pop()
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
