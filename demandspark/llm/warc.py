@@ -10,7 +10,9 @@ its range, read to their end. A piece is taken for a member only if it decodes t
 header lines (or is an empty member); the magic also occurs by chance inside compressed
 data, so a piece that cannot begin a member continues the one before it. Where that one
 began in the range before, both sides are handed over as fragments, and a small shuffle by
-file joins them. File names must not end in ``.gz`` (the reader would unpack them whole).
+file joins them; so are the pieces of a member that the magic cuts before its first bytes
+decode. Fragments that make no whole members are an error. File names must not end in
+``.gz`` (the reader would unpack them whole).
 
 Of records with equal payloads of at least 1000 bytes, that with the largest page id is
 the response, others are revisits without a payload, which name it. Null ids come last;
@@ -208,12 +210,32 @@ def _scan(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _join_fragments(rows: pd.DataFrame) -> pd.DataFrame:
-    """Records whose pieces lie in several byte ranges of one file."""
-    members, out = Members(), []
+    """Records whose pieces lie in several byte ranges of one file, or that the magic cuts before their first bytes show.
+
+    In order, the fragments are whole members one after another: where one ends the next begins, so
+    none has to be recognised by its first piece, and what is no member is an error.
+    """
+    out, unpacker, data = [], None, []
+
+    def wrong(what: str) -> ValueError:
+        return ValueError(f"{what} in {rows['file'].iloc[0]}")
+
     for piece in rows.sort_values(["block", "seq"])["piece"]:
-        kind, data = members.add(piece)
-        if kind == "record" and data:
-            out.append(parse_record(data))
+        if unpacker is None:
+            unpacker, data = zlib.decompressobj(31), []
+        try:
+            data.append(unpacker.decompress(piece))
+        except zlib.error as e:
+            raise wrong("bytes that belong to no gzip member") from e
+        if not unpacker.eof:
+            continue
+        unpacker, record = None, b"".join(data)
+        if record and not record.startswith(b"WARC/"):
+            raise wrong("a gzip member that is no WARC record")
+        if record:
+            out.append(parse_record(record))
+    if unpacker is not None:
+        raise wrong("a gzip member without an end")
     return pd.DataFrame(out, columns=[c.split()[0] for c in RECORD.split(", ")])
 
 

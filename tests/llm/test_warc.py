@@ -1,8 +1,10 @@
 import gzip
 import hashlib
 import os
+import zlib
 from collections import Counter, defaultdict
 
+import pandas as pd
 import pytest
 
 from demandspark.llm import warc
@@ -70,6 +72,48 @@ def test_chance_magic_inside_a_member_does_not_cut_it():
     assert warc.Members().add(warc.MAGIC + os.urandom(30)) == ("loose", None)
 
 
+def named(data, name):
+    """A gzip member with a file name in its header."""
+    packer = zlib.compressobj(3, wbits=-15)
+    body = packer.compress(data) + packer.flush()
+    sizes = zlib.crc32(data).to_bytes(4, "little") + len(data).to_bytes(4, "little")
+    return warc.MAGIC + b"\x08" + bytes(5) + b"\x03" + name + b"\0" + body + sizes
+
+
+def test_magic_before_the_first_bytes_show_loses_no_record(spark, tmp_path):
+    odd = [b"", b"a", b"ab" * 40]  # the magic in the header, where nothing is unpacked yet
+    records = [warc.record_bytes(i, "u", b"payload %d " % i * 50, "d", None, False) for i in range(40)]
+    for f in range(2):
+        members = [
+            named(r, odd[i // 4 % 3] + warc.MAGIC + b"name" + warc.MAGIC) if i % 4 == 1 else warc.member(r)
+            for i, r in enumerate(records) if i % 2 == f or i % 4 == 1
+        ]
+        (tmp_path / f"part-{f}").write_bytes(b"".join(members))
+    expected = Counter(f"<urn:page:{i}>" for f in range(2) for i in range(40) if i % 2 == f or i % 4 == 1)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+    try:
+        for size in (before, "300b"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            assert Counter(r["record_id"] for r in warc.read_archive(spark, str(tmp_path)).collect()) == expected
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def fragments(*pieces):
+    return pd.DataFrame([("f", 0, i, p) for i, p in enumerate(pieces)], columns=["file", "block", "seq", "piece"])
+
+
+def test_fragments_are_joined_or_refused():
+    raw = warc.member(warc.record_bytes(1, "u", b"payload", "d", None, False))
+    for at in (12, 30, len(raw) - 4):
+        assert list(warc._join_fragments(fragments(raw[:at], raw[at:], warc.EMPTY_MEMBER, raw))["record_id"]) == ["<urn:page:1>"] * 2
+    for pieces in ([raw[30:]], [raw[:30]], [raw, raw[:30]], [warc.member(b"no record")]):
+        with pytest.raises(ValueError):
+            warc._join_fragments(fragments(*pieces))
+
+
 def test_archives_are_plain_gzip(spark, pages):
     path = staging_path(spark, "archive")
     warc.write_archive(spark.read.parquet(f"{pages}/pages.parquet"), path)
