@@ -11,6 +11,7 @@ import pytest
 from demandspark.llm import language_id, quality, secrets
 from demandspark.llm.char_cnn import CharCnn, symbols
 from demandspark.llm.ngram_regression import Regression, counts
+from demandspark.staging import staged
 
 SF = "/root/testdata/sf0.01"
 
@@ -120,6 +121,20 @@ def test_model_spans_are_added_where_both_labels_are(spark, tmp_path):
     assert not any("model" in found[i]["spans"] for i in range(0, 400, 2))
 
 
+def known_findings(spark, rules, others):
+    """A staged table like ``secrets.findings`` with the identity of its rows."""
+    span = "array<struct<kind: int, start: long, stop: long, window: binary>>"
+    rows = [(0, i, [(0, 5, 25, a)], [(3, 5, 25, b)]) for i, (a, b) in enumerate(zip(rules, others))]
+    return staged(spark.createDataFrame(rows, f"_rf long, _ri long, rules {span}, others {span}"), "found")
+
+
+def test_the_recall_alone_sets_the_threshold(spark):
+    rng = np.random.default_rng(4)
+    windows = [bytearray(rng.integers(1, 90, 40).astype(np.uint8).tobytes()) for _ in range(200)]
+    net = secrets.train(known_findings(spark, windows, windows))  # no telling them apart
+    assert 0.2 < net.threshold < 0.8
+
+
 def test_secrets_are_masked_and_others_left_alone(clashing, odd_documents):
     left = secrets.mask(clashing)
     assert left.columns == clashing.columns and left.schema == clashing.schema
