@@ -7,10 +7,11 @@ follow-the-regularised-leader (per-coordinate rates, L1 and L2 penalties), which
 most of them zero, and the scores are calibrated by one temperature on rows kept out of
 the fit.
 
-Training rows: non-null label, crc32 of the id as text modulo 3 not 1. The fit takes a
-bounded sample of them, about ``fit_rows`` for each of the ``max_languages`` most frequent
-labels, chosen by a hash; counts and scores take every row and the whole text. The model
-is of fixed size and travels inside the tasks.
+Training rows: non-null label, crc32 of the id as text modulo 3 not 1. Every label is
+learnt. The fit takes a bounded sample, about ``fit_rows`` rows of each label, or an equal
+share of ``fit_rows * FULL_LANGUAGES`` where there are more labels than ``FULL_LANGUAGES``;
+counts and scores take every row and the whole text. The model has DIMENSIONS weights for
+each label and travels inside the tasks.
 
 Defined cases: null text, and text without a letter, is ``und`` with score 0; so is all
 text when there is nothing to learn from. A null id counts as not held out. Other columns
@@ -29,7 +30,8 @@ from demandspark.staging import staged
 
 UNKNOWN = "und"
 FIT_ROWS = 1500
-MAX_LANGUAGES = 200
+# So many labels get ``fit_rows`` each; more share what these would take.
+FULL_LANGUAGES = 200
 # Calibrated score below which the corpus pipeline rejects a document.
 MIN_SCORE = 0.4
 
@@ -50,14 +52,15 @@ def train(
     training = docs.where(F.col(label).isNotNull() & F.col(text).isNotNull() & ~held_out(id_col)).select(
         F.col(text).alias("text"), F.col(label).cast("string").alias("label")
     )
-    per_label = training.groupBy("label").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "label").limit(MAX_LANGUAGES)
-    sizes = {r["label"]: r["n"] for r in per_label.collect()}  # at most MAX_LANGUAGES rows
+    sizes = {r["label"]: r["n"] for r in training.groupBy("label").agg(F.count("*").alias("n")).collect()}  # a row for each language
     if not sizes:
         return None
     idf = inverse_frequencies(*document_frequencies(training))
     spread = F.pmod(F.xxhash64("text", "label"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    rates = F.create_map(*[F.lit(x) for c, n in sizes.items() for x in (c, min(1.0, fit_rows / n))])
-    return fit_on(training.where(spread < rates[F.col("label")]), sorted(sizes), idf)
+    rows = fit_rows * min(1.0, FULL_LANGUAGES / len(sizes))
+    rates = docs.sparkSession.createDataFrame([(c, min(1.0, rows / n)) for c, n in sizes.items()], "label string, rate double")
+    sample = training.join(staged(rates, "language-rates"), "label").where(spread < F.col("rate"))
+    return fit_on(sample, sorted(sizes), idf)
 
 
 def predict(docs: DataFrame, model: Regression | None, text: str = "text") -> DataFrame:

@@ -34,6 +34,16 @@ def test_held_out_labels_do_not_matter(spark):
     assert a.classes == b.classes and (a.weights == b.weights).all() and a.temperature == b.temperature
 
 
+def test_every_label_is_learnt(spark, tmp_path):
+    words = [hashlib.sha256(str(i).encode()).hexdigest().translate(str.maketrans("0123456789", "ghijklmnop")) for i in range(230)]
+    rows = [(i * 10 + k, f"{w} {w[k:]}", f"l{i}") for i, w in enumerate(words) for k in range(8 if i < 200 else 6)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    model = language_id.train(spark.read.parquet(f"{tmp_path}/documents.parquet"))
+    assert model.classes == sorted({r[2] for r in rows})
+    rare = [r for r in rows if r[0] >= 2000]
+    assert np.mean([model.classes[int(model.probabilities(t).argmax())] == lang for _, t, lang in rare]) > 0.9
+
+
 def test_language_of_odd_rows(spark, odd, odd_documents, empty):
     rows = language_id.op9_language_id(spark, odd).collect()
     assert len(rows) == len(odd_documents)
