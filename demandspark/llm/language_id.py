@@ -9,7 +9,8 @@ the fit.
 
 Training rows: non-null label, crc32 of the id as text modulo 3 not 1. Every label is
 learnt. The fit takes a bounded sample, about ``fit_rows`` rows of each label, or an equal
-share of ``fit_rows * FULL_LANGUAGES`` where there are more labels than ``FULL_LANGUAGES``;
+share of ``fit_rows * FULL_LANGUAGES`` where there are more labels than ``FULL_LANGUAGES``,
+chosen by a hash of where a row is stored, so that copies of a text are taken one by one;
 counts and scores take every row and the whole text. The model has DIMENSIONS weights for
 each label and travels inside the tasks.
 
@@ -49,14 +50,15 @@ def train(
     docs: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "lang", fit_rows: int = FIT_ROWS
 ) -> Regression | None:
     """A model learnt from the training rows of ``docs``; None if there are none."""
-    training = docs.where(F.col(label).isNotNull() & F.col(text).isNotNull() & ~held_out(id_col)).select(
-        F.col(text).alias("text"), F.col(label).cast("string").alias("label")
-    )
+    training = keyed(docs).select(
+        *ROW, F.col(f"rec.{id_col}").alias("id"), F.col(f"rec.{text}").alias("text"),
+        F.col(f"rec.{label}").cast("string").alias("label"),
+    ).where(F.col("label").isNotNull() & F.col("text").isNotNull() & ~held_out("id")).drop("id")
     sizes = {r["label"]: r["n"] for r in training.groupBy("label").agg(F.count("*").alias("n")).collect()}  # a row for each language
     if not sizes:
         return None
     idf = inverse_frequencies(*document_frequencies(training))
-    spread = F.pmod(F.xxhash64("text", "label"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    spread = F.pmod(F.xxhash64(*ROW), F.lit(1 << 30)) / F.lit(float(1 << 30))
     rows = fit_rows * min(1.0, FULL_LANGUAGES / len(sizes))
     rates = docs.sparkSession.createDataFrame([(c, min(1.0, rows / n)) for c, n in sizes.items()], "label string, rate double")
     sample = training.join(staged(rates, "language-rates"), "label").where(spread < F.col("rate"))

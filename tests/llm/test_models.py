@@ -44,6 +44,22 @@ def test_every_label_is_learnt(spark, tmp_path):
     assert np.mean([model.classes[int(model.probabilities(t).argmax())] == lang for _, t, lang in rare]) > 0.9
 
 
+def test_copies_are_sampled_row_by_row(spark, tmp_path, monkeypatch):
+    texts = ["the same text in every row", "another text in every row", "a third one"]
+    spark.createDataFrame([(i, texts[i % 3], "en") for i in range(6000)], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(language_id, "fit_on", lambda sample, classes, idf: Counter(r["text"] for r in sample.select("text").collect()))
+    taken = language_id.train(docs, fit_rows=600)
+    assert all(120 < taken[t] < 280 for t in texts)
+
+
+def test_copied_findings_are_sampled_row_by_row(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(secrets, "arrow_stage", lambda sample, run, schema: seen.append(sample) or sample.limit(0))
+    secrets.train(known_findings(spark, [bytearray(b"\1" * 40)] * 4000, [bytearray(b"\2" * 40)] * 4000), fit_rows=400)
+    assert all(300 < seen[0].where(f"label = {y}").count() < 500 for y in (0, 1))
+
+
 def test_language_of_odd_rows(spark, odd, odd_documents, empty):
     rows = language_id.op9_language_id(spark, odd).collect()
     assert len(rows) == len(odd_documents)
