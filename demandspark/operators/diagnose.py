@@ -6,6 +6,9 @@ Operators that order a series by date expect one row per series and day
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +17,7 @@ from demandspark.functions.stats import guarded_corr
 from demandspark.spec import (
     BRANCH, DATE, DEMAND, FORECAST_STEP, WEEKDAY, ForecastSpec,
 )
+from demandspark.staging import staged
 
 # Whisker length, strong-correlation limit, normal 95 % bound.
 IQR_FACTOR = 1.5
@@ -174,9 +178,13 @@ def branch_patterns(history: DataFrame, spec: ForecastSpec = ForecastSpec()) ->
         F.stddev_samp(DEMAND).alias("std"),
         F.sum(DEMAND).alias("total"),
     )
-    # One row for each series: the window over a branch is as small as its list of series.
-    branch = Window.partitionBy(*[k for k in spec.keys if k in ("CountryCode", BRANCH)])
-    return per_series.withColumn("share", F.try_divide(F.col("total"), F.sum("total").over(branch)))
+    # A branch may hold any number of series: its total combines map-side, and the join can be split.
+    per_series = staged(per_series, "branch-series")
+    branch = [k for k in spec.keys if k in ("CountryCode", BRANCH)]
+    sums = per_series.groupBy(*[F.col(k).alias(f"_of_{k}") for k in branch]).agg(F.sum("total").alias("_branch_total"))
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in branch])
+    joined = per_series.join(staged(sums, "branch-totals"), same, "left")
+    return joined.select(*per_series.columns, F.try_divide(F.col("total"), F.col("_branch_total")).alias("share"))
 
 
 def seasonal_patterns(history: DataFrame, spec: ForecastSpec = ForecastSpec()) -> DataFrame:

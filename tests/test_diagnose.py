@@ -84,6 +84,13 @@ def test_patterns(spark):
     assert a["month", "01"].n_rows == 8 and len(a) == 8
 
 
+def test_branch_totals_need_no_window_and_match_null_branches(spark):
+    df = demand(spark, {A: [30], B: [10]}).withColumn("BranchId", F.lit(None).cast("string"))
+    got = branch_patterns(df)
+    assert {r.ProductId: r.share for r in got.collect()} == {"18": 0.75, "7": 0.25}
+    assert "Window" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_valid_combinations(spark):
     df = demand(spark, {A: [1]})
     wanted = spark.createDataFrame([("18", "11", "USD"), ("18", "99", "USD")], "ProductId string, BranchId string, Currency string")
