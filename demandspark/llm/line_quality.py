@@ -2,8 +2,9 @@ r"""Operator 6: quality rules, line first.
 
 Every line is judged on its own: does it look like prose by its punctuation, like a
 navigation bar, like boilerplate? Failing lines are removed; a document that loses too
-large a share of its characters, or keeps too few words, is rejected. The base counts are
-taken in the same pass. One narrow stage without a shuffle.
+large a share of its characters is rejected, as is one that fails the base rules (too few
+words, too many repeated) on its whole text. The words that are left are not counted
+again. The base counts are taken in the same pass. One narrow stage without a shuffle.
 
 Base: words are ``[^\x20\x09-\x0D]+``; ``n_repeat_words`` are the words in windows of three
 words that occur twice or more in the text.
