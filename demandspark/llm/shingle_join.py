@@ -8,15 +8,16 @@ r"""Operator 12: documents whose shingle sets have a high Jaccard similarity, by
    of those that occur again; sets with too few such tokens have no partner. This moves
    some four bytes a token of a third of each set.
 3. The sets of the others are made again from their texts and staged.
-4. Signature trees: sets that share one of their three lowest hashes are a shard (a large
-   one is cut at random) and each shard is a tree that is traversed against itself. Most
-   links of dense groups show up here, and make components.
+4. Signature trees: sets that share one of their three lowest hashes are bundled, a large
+   bundle is cut at random into shards, and each shard is a tree that is traversed against
+   itself. Most links of dense groups show up here, and make components.
 5. The rest, exactly: linked sets share one of the first ``n - 0.8 n + 1`` tokens in any
    common order; the order taken is (occurrences by a sketch of fixed size, hash), so
-   passages that many documents share come last. A token is a shard only if its sets are of
-   several components, and of tokens with the same sets one is enough. A shard above
-   ``SHARD`` sets is cut into cells, and each pair of cells meets in one task.
-   Pairs of nodes within one component are not followed.
+   passages that many documents share come last. Only tokens whose sets are of several
+   components count. Tokens whose sets have the same lead (the set of lowest hashed number)
+   are one bundle, so that groups with many tokens in common send each set a few times
+   and not once a token. A bundle above ``SHARD`` sets is cut into cells, and each pair of
+   cells meets in one task. Pairs of nodes within one component are not followed.
 6. Tasks reduce links to spanning forests; components take the smallest id.
 
 Words are ``[^\x20\x09-\x0D]+`` after lower-casing A-Z; a set has the distinct runs of five
@@ -335,12 +336,23 @@ def _tree_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return arrow_stage(rows.repartition(n, "shard").sortWithinPartitions("shard"), run, "a long, b long")
 
 
+def _bundles(rows: DataFrame, tokens: DataFrame) -> DataFrame:
+    """(lead, size, node, root): the sets of all tokens (``token, lead``) with one lead, each once."""
+    sets = staged(rows.join(tokens, "token").select("lead", "node", "root").distinct(), "bundles")
+    sizes = staged(sets.groupBy("lead").agg(F.count("*").alias("size")).where("size > 1"), "bundle-sizes")
+    return sets.join(sizes, "lead")
+
+
+def _lead():
+    return F.min(F.xxhash64("node")).alias("lead")
+
+
 def _low_hash_links(sets: DataFrame, percent: int, shard: int) -> DataFrame:
-    rows = staged(_tokens(sets, lambda t: t[:LOWEST]), "low-hashes")
-    sizes = staged(rows.groupBy("token").agg(F.count("*").alias("size")).where("size > 1"), "low-hash-shards")
-    part = F.pmod(F.xxhash64("node", "token"), F.ceil(F.col("size") / shard))
-    members = rows.join(sizes, "token").select(
-        F.xxhash64("token", part).alias("shard"), F.lit(0).alias("side"), "node", F.col("node").alias("root")
+    rows = staged(_tokens(sets, lambda t: t[:LOWEST]).withColumn("root", F.col("node")), "low-hashes")
+    tokens = rows.groupBy("token").agg(F.count("*").alias("size"), _lead()).where("size > 1").select("token", "lead")
+    part = F.pmod(F.xxhash64("node", "lead"), F.ceil(F.col("size") / shard))
+    members = _bundles(rows, staged(tokens, "low-hash-tokens")).select(
+        F.xxhash64("lead", part).alias("shard"), F.lit(0).alias("side"), "node", "root"
     )
     return _tree_links(members, sets, percent)
 
@@ -354,14 +366,13 @@ def _prefix_links(sets: DataFrame, roots: DataFrame, percent: int, shard: int) -
 
     rooted = _tokens(sets, pick).join(roots, "node", "left").select("token", "node", F.coalesce("root", "node").alias("root"))
     rows = staged(rooted, "prefix-tokens")
-    names = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"name{i}") for i in (0, 1)]  # of the list of sets
-    tokens = rows.groupBy("token").agg(F.count("*").alias("size"), F.min("root").alias("u"), F.max("root").alias("v"), *names)
-    tokens = tokens.where("u != v").groupBy("size", "name0", "name1").agg(F.min("token").alias("token"))
-    tokens = staged(tokens.select("token", F.ceil(F.col("size") / shard).alias("cells")), "prefix-shards")
-    own = F.pmod(F.xxhash64("node"), "cells")
-    cell = F.explode(F.sequence(F.lit(0).cast("long"), F.col("cells") - 1)).alias("cell")
-    members = rows.join(tokens, "token").select("token", "node", "root", own.alias("own"), cell).select(
-        F.xxhash64("token", F.least("own", "cell"), F.greatest("own", "cell")).alias("shard"),
+    tokens = rows.groupBy("token").agg(F.min("root").alias("u"), F.max("root").alias("v"), _lead()).where("u != v")
+    cells = F.ceil(F.col("size") / shard)
+    own = F.pmod(F.xxhash64("node"), cells)
+    cell = F.explode(F.sequence(F.lit(0).cast("long"), cells - 1)).alias("cell")
+    bundles = _bundles(rows, staged(tokens.select("token", "lead"), "prefix-tokens-across"))
+    members = bundles.select("lead", "node", "root", own.alias("own"), cell).select(
+        F.xxhash64("lead", F.least("own", "cell"), F.greatest("own", "cell")).alias("shard"),
         (F.col("own") > F.col("cell")).cast("int").alias("side"), "node", "root",
     )
     return _tree_links(members, sets, percent)
