@@ -8,7 +8,8 @@ by array arithmetic and can also cut out any token range.
 Both are narrow stages: no shuffle, no state but a cache of bounded size in each worker.
 
 Defined cases: null text counts as empty; an empty text has no ids; ids and other columns
-pass as they are, null or repeated; an empty table gives an empty table.
+pass as they are, null or repeated; a column of a new column's name is replaced; an empty
+table gives an empty table.
 """
 
 from __future__ import annotations
@@ -69,7 +70,7 @@ def encode_function(fields: T.StructType, ranks_path: str, text: str = "text"):
 
 def decode_function(fields: T.StructType, ranks_path: str):
     """Arrow function that adds ``decoded`` to rows with ``ids`` and ``offsets``."""
-    schema = T.StructType([*fields.fields, T.StructField("decoded", T.BinaryType())])
+    schema = T.StructType([*[f for f in fields.fields if f.name != "decoded"], T.StructField("decoded", T.BinaryType())])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,7 +90,7 @@ def decode_function(fields: T.StructType, ranks_path: str):
 
         for batch in batches:
             texts = map(text_of, batch.column("ids").to_pylist(), batch.column("offsets").to_pylist())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(list(texts), pa.binary())], schema=arrow)
+            yield pa.RecordBatch.from_arrays([*map(batch.column, arrow.names[:-1]), pa.array(list(texts), pa.binary())], schema=arrow)
 
     return run, schema
 

@@ -27,17 +27,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_ROW_BY_ROW = {"Project", "Filter", "SubqueryAlias"}
+
+
+def _scans_rows(df: DataFrame) -> bool:
+    """Whether the rows of ``df`` are stored rows, each at most once: projections and filters over one relation."""
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.getClass().getSimpleName() in _ROW_BY_ROW:
+        plan = plan.children().head()
+    return plan.getClass().getSimpleName() == "LogicalRelation"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` if it is a plain Parquet scan, else a staged copy of it, so that ``keyed`` names its rows.
+
+    A row of a join, a union or an explode has no place of its own, and one of a JSON file
+    or of memory none that is known. A function that calls ``keyed`` more than once calls
+    this first: each staged copy has places of its own.
+    """
+    if _scans_rows(df):
+        try:
+            _with_identity(df)
+            return df
+        except AnalysisException:
+            pass
+    return staged(df, "stored")
+
+
 def keyed(df: DataFrame) -> DataFrame:
     """``rec`` (the whole row as a struct) with the row's identity in ``_rf`` and ``_ri``.
 
     A stored row keeps its identity in every scan, however the files are split, so
     decisions made on slim rows find their way back also where ids are null or repeat.
-    Frames that are no plain Parquet scan are staged first.
     """
-    try:
-        return _with_identity(df)
-    except AnalysisException:
-        return _with_identity(staged(df, "keyed"))
+    return _with_identity(stored(df))
 
 
 def _with_identity(df: DataFrame) -> DataFrame:
@@ -91,11 +114,13 @@ def text_function(
 ) -> tuple[Run, T.StructType]:
     """A function for ``arrow_stage`` and its schema: ``fields`` without ``text``, then ``out``.
 
+    A column of ``out`` replaces one of the same name.
+
     ``make()`` runs once in each task and gives a function from a list of texts (None for
     null) to equally long columns by name.
     """
     added = T._parse_datatype_string(out)
-    kept = [f for f in fields.fields if f.name != text]
+    kept = [f for f in fields.fields if f.name != text and f.name not in added.names]
     schema = T.StructType(kept + added.fields)
     arrow = to_arrow_schema(schema)
 

@@ -18,7 +18,7 @@ number of rows. Nothing is broadcast but what the planner finds below its thresh
 Equal: identical after deleting every character of ``[\x20\x09-\x0D]``. The row with the
 most code points stays, then the smallest id; of rows that tie in both (repeated rows)
 the first in storage, and null ids come last. Null counts as empty; all-blank texts are
-equal to each other. An empty table gives an empty table.
+equal to each other. Columns of any name pass. An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandspark.llm import golomb
-from demandspark.llm.common import ROW, arrow_stage, keyed, partition_count, table, text_stage, without
+from demandspark.llm.common import ROW, arrow_stage, keyed, partition_count, stored, table, text_stage, without
 from demandspark.llm.registry import query
 from demandspark.staging import staged
 
@@ -151,6 +151,7 @@ def suspects(prints: DataFrame) -> DataFrame:
 
 def duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``_rf``, ``_ri``, ``id``, ``keep_id``, ``group_size``, ``kept`` and ``sha`` for each row of ``docs``."""
+    docs = stored(docs)
     prints = staged(fingerprints(docs, id_col, text), "fingerprints")
     alike = staged(suspects(prints).select(*ROW, "id", "chars", "sha"), "suspects")
 
@@ -178,6 +179,7 @@ def duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
 
 def drop_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of equal texts; same columns."""
+    docs = stored(docs)
     return without(docs, staged(duplicates(docs).where("NOT kept").select(*ROW), "dropped-copies"))
 
 

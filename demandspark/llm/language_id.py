@@ -16,7 +16,8 @@ each label and travels inside the tasks.
 
 Defined cases: null text, and text without a letter, is ``und`` with score 0; so is all
 text when there is nothing to learn from. A null id counts as not held out. Other columns
-pass as they are, null or repeated; an empty table gives an empty table.
+pass as they are, null or repeated; a column of a new column's name is replaced; an empty
+table gives an empty table.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.llm.common import ROW, keyed, table, text_stage, without
+from demandspark.llm.common import ROW, keyed, stored, table, text_stage, without
 from demandspark.llm.ngram_regression import Regression, document_frequencies, fit_on, inverse_frequencies
 from demandspark.llm.registry import query
 from demandspark.staging import staged
@@ -83,6 +84,7 @@ def predict(docs: DataFrame, model: Regression | None, text: str = "text") -> Da
 
 def keep_known(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """``docs`` without rows in no known language (``und``, or a score below ``min_score``)."""
+    docs = stored(docs)
     model = train(docs)
     judged = predict(keyed(docs).select(*ROW, F.col("rec.text").alias("text")), model)
     lost = judged.where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < min_score)).select(*ROW)

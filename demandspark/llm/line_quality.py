@@ -10,7 +10,8 @@ Base: words are ``[^\x20\x09-\x0D]+``; ``n_repeat_words`` are the words in windo
 words that occur twice or more in the text.
 
 Defined cases: null text has no words and fails the base rules; an empty text as well; ids
-and other columns pass as they are, null or repeated; an empty table gives an empty table.
+and other columns pass as they are, null or repeated; a column of a new column's name is
+replaced; an empty table gives an empty table.
 """
 
 from __future__ import annotations

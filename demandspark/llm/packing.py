@@ -13,7 +13,8 @@ and gives the same bins, with sequence ids that hold its partition number.
 
 Defined cases: null text counts as empty; an empty text has the end token alone; ids pass
 as they are, null or repeated (each row is a document of its own); a document of any
-length is cut; an empty table gives an empty table.
+length is cut; a column of a new column's name is replaced; an empty table gives an empty
+table.
 """
 
 from __future__ import annotations

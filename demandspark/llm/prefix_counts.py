@@ -9,7 +9,7 @@ count at any prefix is one look-up: budgets and truncation need no second encodi
 ``prefix_table`` is a narrow stage without a shuffle.
 
 Defined cases: null text counts as empty (0 tokens); other columns pass as they are, null
-or repeated; an empty table gives an empty table. The string of an added special token is
+or repeated; a column of a new column's name is replaced; an empty table gives an empty table. The string of an added special token is
 that one token, as the library has it by default.
 """
 

@@ -18,7 +18,7 @@ takes ``source`` as the host and ``lang`` as the section under it.
 Defined cases: null or empty text is scored as an empty text; null hosts and paths are
 sites of their own; ids pass as they are, null or repeated; repeated labels are averaged;
 without labels of both kinds the classifier says 0.5 throughout; an empty table gives an
-empty table.
+empty table; columns of any other name do no harm.
 """
 
 from __future__ import annotations

@@ -20,7 +20,7 @@ linked like any other). A bit is set if it is set in over half of the shingles'
 
 Defined cases: null text counts as empty; null ids come last when the smallest is chosen
 (a component of null ids alone has a null id); repeated rows share a component; an empty
-table gives an empty table.
+table gives an empty table; columns of any name pass.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandspark.llm.bk_trees import Forest
-from demandspark.llm.common import ROW, arrow_stage, keyed, partition_count, table, text_stage, without
+from demandspark.llm.common import ROW, arrow_stage, keyed, partition_count, stored, table, text_stage, without
 from demandspark.llm.components import components
 from demandspark.llm.registry import query
 from demandspark.staging import staged
@@ -180,6 +180,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each component, that of the smallest id (nulls last, then the
     first in storage); same columns."""
+    docs = stored(docs)
     found = staged(near_duplicates(docs).select(*ROW, "id", "root"), "near-duplicates")
     first = F.min(F.struct(F.col("id").isNull().alias("u"), "id", *ROW)).alias("first")
     stays = staged(found.groupBy("root").agg(first).select("first.*").select(*ROW), "kept-of-component")

@@ -19,7 +19,7 @@ the response, others are revisits without a payload, which name it. Null ids com
 of rows that tie (repeated rows) the first in storage is the response.
 
 Defined cases: null html counts as empty; a null url is written empty; a null page id is
-written empty and read as null; an empty table gives an empty archive.
+written empty and read as null; an empty table gives an empty archive; columns of any other name do no harm.
 """
 
 from __future__ import annotations

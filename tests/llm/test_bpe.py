@@ -97,5 +97,8 @@ def test_empty_table(spark, empty):
 
 def test_clashing_names_pass(clashing):
     n = clashing.count()
-    assert byte_bpe.encode(clashing.select("doc_id", "text", "label", "p"), RANKS).count() == n
-    assert prefix_counts.prefix_table(clashing, VOCABULARY).count() == n
+    assert byte_bpe.round_trip(clashing.withColumn("decoded", clashing["p"]), RANKS).columns.count("ids") == 1
+    assert byte_bpe.round_trip(clashing.withColumn("offsets", clashing["p"]), RANKS).count() == n
+    assert prefix_counts.prefix_table(clashing.withColumn("totals", clashing["p"]), VOCABULARY).count() == n
+    wide = clashing.withColumn("kept_chars", clashing["p"])
+    assert prefix_counts.truncate(wide, VOCABULARY, 5).where("kept_tokens <= 5").count() == n

@@ -69,7 +69,7 @@ def test_language_of_odd_rows(spark, odd, odd_documents, empty):
 
 
 def test_nothing_to_learn_from(spark, clashing):
-    rows = language_id.predict(clashing.drop("p"), language_id.train(clashing.withColumn("lang", clashing["lang"].substr(9, 1)).where("false")))
+    rows = language_id.predict(clashing.withColumn("score", clashing["p"]), language_id.train(clashing.withColumn("lang", clashing["lang"].substr(9, 1)).where("false")))
     assert {(r["lang_pred"], r["score"]) for r in rows.collect()} == {("und", 0.0)}
 
 
