@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandspark.functions.columns import strip_thousands
+from demandspark.functions.comoments import comoments, correlation
 from demandspark.functions.quantiles import exact_quantiles
-from demandspark.functions.stats import guarded_corr
 
 # Histogram bins, whisker length, text of a failed prediction.
 BINS = 20
@@ -55,21 +54,23 @@ def column_profile(
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Pairwise-complete Pearson correlation, one row per ordered pair, from one scan."""
+    """Pairwise-complete Pearson correlation, one row per ordered pair, from one scan.
+
+    Null where a column is constant or all null; NaN counts as null. No aggregate grows
+    with the number of pairs: see ``comoments``.
+    """
     columns = list(columns or numeric_columns(df))
-    pairs = [(a, a) for a in columns] + list(combinations(columns, 2))
-    wide = df.agg(
-        *[
-            guarded_corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{i}")
-            for i, (a, b) in enumerate(pairs)
-        ]
+    # One name for each column: as many as the schema has.
+    names = F.array(*map(F.lit, columns))
+    every = df.sparkSession.range(len(columns) ** 2).select(
+        (F.col("id") % len(columns)).cast("int").alias("i"), F.floor(F.col("id") / len(columns)).cast("int").alias("j")
     )
-    cells = [
-        F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(f"`{i}`").alias("corr"))
-        for i, (a, b) in enumerate(pairs)
-        for x, y in dict.fromkeys([(a, b), (b, a)])
-    ]
-    return wide.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+    moments = comoments(df, columns)
+    found = moments.select("i", "j", correlation(moments).alias("corr"))
+    return every.join(
+        found.withColumnsRenamed({"i": "a", "j": "b"}),
+        (F.least("i", "j") == F.col("a")) & (F.greatest("i", "j") == F.col("b")), "left",
+    ).select(F.get(names, F.col("i")).alias("x"), F.get(names, F.col("j")).alias("y"), "corr")
 
 
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = BINS) -> DataFrame:
