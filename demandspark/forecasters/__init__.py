@@ -3,6 +3,7 @@
 from demandspark.forecasters.base import Forecaster
 from demandspark.forecasters.iterative import iterative_forecast
 from demandspark.forecasters.naive import SeasonalNaive
+from demandspark.forecasters.quantile_regression import QuantileRegression
 from demandspark.forecasters.regression import LagRegression
 from demandspark.forecasters.selection import backtest, candidate_errors, select_candidate
 from demandspark.forecasters.smoothing import ExponentialSmoothing
@@ -13,6 +14,7 @@ __all__ = [
     "ExponentialSmoothing",
     "Forecaster",
     "LagRegression",
+    "QuantileRegression",
     "SeasonalNaive",
     "TrailingQuantile",
     "WeekdayQuantile",
