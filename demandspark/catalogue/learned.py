@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from demandspark.catalogue.fixtures import KEYS, SPEC, events_daily, sql
+from demandspark.catalogue.fixtures import KEYS, SPEC, demand_daily, events_daily, sql
 from demandspark.catalogue.registry import query, rounded
+from demandspark.forecasters import TrailingQuantile
 from demandspark.functions.quantile_fit import fit_quantiles, pinball
-from demandspark.spec import DATE, DEMAND
+from demandspark.plans.reconciled import reconciled_forecast
+from demandspark.spec import DATE, DEMAND, TARGET_DATE
 from demandspark.staging import staged
 
 LEVELS = SPEC.quantiles.probabilities
@@ -41,3 +43,45 @@ def _(spark, sf):
 
     found = rows.agg(F.array(*[of(p) for p in LEVELS]).alias("f")).select(F.explode("f").alias("f")).select("f.*")
     return rounded(rounded(found, 0, "loss"), 2, "share_below")
+
+
+def _level(number: int, keys: str) -> dict[str, str]:
+    """Base forecast of a level: quantiles of the last rows of each of its series."""
+    return {
+        f"b{number}": f"""select {keys}, quantile_cont(Demand, 0.5) as f, greatest(
+                power((quantile_cont(Demand, 0.9) - quantile_cont(Demand, 0.1)) / (2 * 1.2815515655446004::double), 2), 1e-12) as v
+            from (select *, row_number() over (partition by {keys} order by EffectiveDate desc) as back from (
+                select {keys}, EffectiveDate, sum(Demand) as Demand from dd group by {keys}, EffectiveDate))
+            where back <= 28 group by {keys}""",
+    }
+
+
+def _sweep(number: int, keys: str) -> dict[str, str]:
+    return {
+        f"s{number}": f"select {keys}, sum(m) as sm, sum(v) as sv from u{number - 1} group by {keys}",
+        f"u{number}": f"""select {keys}, f, (f / v + sm / sv) / (1 / v + 1 / sv) as m, 1 / (1 / v + 1 / sv) as v, sm, sv
+            from b{number} join s{number} using ({keys})""",
+    }
+
+
+L1, L2 = "BranchId, CountryCode, Currency", "CountryCode, Currency"
+RECONCILED = " union all ".join(
+    f"""select {i} as level, {p} as ProductId, {b} as BranchId, r.CountryCode, r.Currency, o.EffectiveDate,
+        cast(o.EffectiveDate + cast(j as integer) as date) as ForecastDate, round(f, 2) as value, round(r, 2) as p50
+        from r{i} r join o using (CountryCode) cross join range(1, 11) t(j)"""
+    for i, p, b in ((0, "r.ProductId", "r.BranchId"), (1, "cast(null as varchar)", "r.BranchId"), (2, "cast(null as varchar)", "cast(null as varchar)"))
+)
+
+
+@query(
+    "reconciled_forecast",
+    sql("dd", RECONCILED, **_level(0, "ProductId, " + L1), **_level(1, L1), **_level(2, L2),
+        u0=f"select ProductId, {L1}, f, f as m, v from b0", **_sweep(1, L1), **_sweep(2, L2),
+        r2="select *, m as r from u2",
+        r1=f"select u1.*, u1.m + u1.v / u2.sv * (r2.r - u2.sm) as r from u1 join u2 using ({L2}) join r2 using ({L2})",
+        r0=f"select u0.*, u0.m + u0.v / u1.sv * (r1.r - u1.sm) as r from u0 join u1 using ({L1}) join r1 using ({L1})",
+        o="select CountryCode, max(EffectiveDate) as EffectiveDate from dd group by 1"),
+)
+def _(spark, sf):
+    found = reconciled_forecast(demand_daily(spark, sf), TrailingQuantile, SPEC)
+    return rounded(found.select("level", *KEYS, DATE, TARGET_DATE, "value", "p50"), 2)
