@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from demandspark.catalogue.fixtures import KEYS, SPEC, demand_daily, events_daily, sql
+from demandspark.catalogue.fixtures import K, KEYS, SPEC, demand_daily, events_daily, sql
 from demandspark.catalogue.registry import query, rounded
 from demandspark.forecasters import TrailingQuantile
+from demandspark.forecasters.state import advance, forecast_states, state_of
 from demandspark.functions.quantile_fit import fit_quantiles, pinball
 from demandspark.plans.reconciled import reconciled_forecast
 from demandspark.spec import DATE, DEMAND, TARGET_DATE
@@ -85,3 +86,29 @@ RECONCILED = " union all ".join(
 def _(spark, sf):
     found = reconciled_forecast(demand_daily(spark, sf), TrailingQuantile, SPEC)
     return rounded(found.select("level", *KEYS, DATE, TARGET_DATE, "value", "p50"), 2)
+
+
+# The days on which the stored states are brought up to date.
+STATE_DAYS = ("2024-01-10", "2024-01-20")
+
+
+@query(
+    "state_forecast",
+    sql("ed", f"""select 'trailing_quantile' as method, {K}, max(EffectiveDate) as EffectiveDate,
+            round(quantile_cont(Demand, 0.1) filter (where back <= 28), 4) as p10,
+            round(quantile_cont(Demand, 0.5) filter (where back <= 28), 4) as p50,
+            round(quantile_cont(Demand, 0.9) filter (where back <= 28), 4) as p90 from aged group by {K}
+        union all select 'exp_smoothing', {K}, last, round(lvl - z * spr, 4), round(lvl, 4), round(lvl + z * spr, 4)
+        from (select {K}, last, any_value(mu) + sum(w * d) / sum(w) as lvl, 1.2815515655446004::double as z,
+                sqrt(greatest(0.0::double, sum(w * d * d) / sum(w) - power(sum(w * d) / sum(w), 2))) as spr
+            from (select *, Demand - mu as d, power(0.7::double, last - EffectiveDate) as w from aged) group by {K}, last)""",
+        aged=f"""select *, row_number() over (partition by {K} order by EffectiveDate desc) as back,
+            max(EffectiveDate) over (partition by {K}) as last, avg(Demand) over (partition by {K}) as mu from ed"""),
+)
+def _(spark, sf):
+    ed = staged(events_daily(spark, sf), "history")
+    first, second = STATE_DAYS
+    day = F.col(DATE)
+    state = staged(state_of(ed.where(day < first), SPEC), "states")
+    state = staged(advance(state, ed.where((day >= first) & (day < second)), SPEC), "states")
+    return rounded(forecast_states(advance(state, ed.where(day >= second), SPEC), SPEC), 4)
