@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from demandspark.catalogue.fixtures import table
 from demandspark.catalogue.registry import query, rounded
+from demandspark.functions.normal_scores import quantile_sql
 from demandspark.operators.evaluate import describe_by
 from demandspark.operators.profile import (
     box_stats, column_profile, correlation_matrix, histogram, jarque_bera, melt, numeric_columns, prediction_sentinels,
+    shapiro_francia,
 )
 
 # Column types of the line item table.
@@ -88,6 +90,20 @@ def _(spark, sf):
     return rounded(rounded(screened, 3, "jarque_bera"), 6, "skewness", "excess_kurtosis", "p_value")
 
 
+@query(
+    "shapiro_francia",
+    f"""with m as ({MELTED}), r as (select *, row_number() over (partition by "column" order by v) as i,
+        count(*) over (partition by "column") as n, avg(v) over (partition by "column") as mu from m),
+    p as (select *, (i - 0.375) / (n + 0.25)::double as p from r),
+    s as (select "column", n, v - mu as d, {quantile_sql('p')} as q from p),
+    w as (select "column", n, power(sum(d * q), 2) / (sum(q * q) * sum(d * d)) as w from s group by 1, 2)
+    select "column", n, round(w, 6) as w, round((ln(1 - w) - (-1.2725 + 1.0521 * (ln(ln(n)) - ln(n))))
+        / (1.0308 - 0.26758 * (ln(ln(n)) + 2 / ln(n))), 4) as z from w""",
+)
+def _(spark, sf):
+    return rounded(rounded(shapiro_francia(_lineitem(spark, sf), NUMERIC), 6, "w"), 4, "z")
+
+
 @query(
     "describe_table",
     f"""with m as ({MELTED}) select "column", count(v) as count, round(avg(v), 4) as mean, round(stddev_samp(v), 4) as std,

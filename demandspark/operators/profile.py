@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandspark.functions.columns import strip_thousands
 from demandspark.functions.comoments import comoments, correlation
+from demandspark.functions.normal_scores import scores
 from demandspark.functions.quantiles import exact_quantiles
+from demandspark.shipping import ship_package
+from demandspark.staging import staged
 
 # Histogram bins, whisker length, text of a failed prediction.
 BINS = 20
 WHISKER = 1.5
 SENTINEL = "ERROR"
+_RUN = 1 << 16  # ranks of one value that are scored at once
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -129,6 +134,59 @@ def jarque_bera(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     ).withColumn("p_value", F.exp(-F.col("jarque_bera") / 2.0))
 
 
+def shapiro_francia(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``column``, ``n``, ``w`` and ``z``: squared correlation of the ordered values with normal scores.
+
+    ``w`` is one for a normal sample; ``z`` is its standardised form (the larger, the less
+    normal; meant for 5 to 5,000 values). Ranks are exact and global: equal values combine
+    map-side into one row with their count, a range sort deals the distinct values to all
+    tasks, and counts of each task's run give the ranks. A value that many rows share is cut
+    into runs of ranks, so neither a column nor a value is bound to one task. Constant
+    columns have no ``w``; null and NaN are left out.
+    """
+    ship_package(df.sparkSession)
+    values = staged(melt(df, columns).groupBy("column", "value").agg(F.count("*").alias("count")), "distinct-values")
+    n_tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = values.repartitionByRange(n_tasks, "column", "value").sortWithinPartitions("column", "value")
+    numbered = staged(dealt.withColumn("spot", F.monotonically_increasing_id()), "ordered-values")
+    numbered = numbered.withColumn("part", F.shiftright("spot", 33))
+    # A column has at most one run in each task, and as many rows here as tasks.
+    runs = numbered.groupBy("column", "part").agg(
+        F.sum("count").alias("size"), F.sum(F.col("value") * F.col("count")).alias("total")
+    )
+    of_column = Window.partitionBy("column")
+    runs = staged(runs.select(
+        "column", "part", (F.sum("size").over(of_column.orderBy("part")) - F.col("size")).alias("before"),
+        F.sum("size").over(of_column).alias("n"), (F.sum("total").over(of_column) / F.sum("size").over(of_column)).alias("mean"),
+    ), "value-runs")
+    within = F.sum("count").over(Window.partitionBy("column", "part").orderBy("spot")) - F.col("count")
+    ranked = numbered.withColumn("within", within).join(runs, ["column", "part"])
+    run = F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1, F.lit(_RUN).cast("long"))).alias("from")
+    ranked = ranked.select("column", "n", (F.col("value") - F.col("mean")).alias("off"), "count", (F.col("before") + F.col("within")).alias("rank"), run)
+    ranked = ranked.select("column", "n", "off", (F.col("rank") + F.col("from")).alias("rank"), F.least(F.col("count") - F.col("from"), F.lit(_RUN)).alias("count"))
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sums = [
+                (off * (m := scores(rank, count, n)).sum(), float(m @ m), off * off * count)
+                for n, off, rank, count in zip(*[batch.column(k).to_pylist() for k in ("n", "off", "rank", "count")])
+            ]
+            cross, square, spread = zip(*sums) if sums else ((), (), ())
+            yield pa.RecordBatch.from_pydict({
+                "column": batch.column("column"), "n": batch.column("n"), "cross": pa.array(cross, pa.float64()),
+                "square": pa.array(square, pa.float64()), "spread": pa.array(spread, pa.float64()),
+            })
+
+    parts = ranked.mapInArrow(scored, "column string, n long, cross double, square double, spread double")
+    w = F.when(F.sum("spread") > 0, F.pow(F.sum("cross"), 2) / (F.sum("square") * F.sum("spread")))
+    found = parts.groupBy("column", "n").agg(w.alias("w"))
+    # Royston's normalising approximation.
+    v = F.log("n")
+    u = F.log(v)
+    z = (F.log(1 - F.col("w")) - (-1.2725 + 1.0521 * (u - v))) / (1.0308 - 0.26758 * (u + 2 / v))
+    return found.select("column", "n", "w", F.when(F.col("w") < 1, z).alias("z"))
+
+
 def prediction_sentinels(df: DataFrame, sentinel: str = SENTINEL) -> DataFrame:
     """Per text column: non-null cells and cells that hold the failure text."""
     wide = df.agg(
