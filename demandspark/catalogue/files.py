@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandspark.catalogue.fixtures import K, KEYS, SPEC, demand_daily, events_daily, sql, weekday_backtest
@@ -29,6 +32,44 @@ def _(spark, sf):
     return rounded(back, 4).select(*KEYS, DATE, DEMAND, F.col("run_ts").cast("string").alias("run_ts"))
 
 
+@query("demand_many_files", sql("dd", f"select {K}, EffectiveDate, round(Demand, 4) as Demand from dd"))
+def _(spark, sf):
+    """Files of different headers: other column orders, further columns, and one without the country."""
+    rows = staged(demand_daily(spark, sf), "rows")
+    shapes = [
+        (F.col("Currency") == "USD", [*KEYS, DATE, DEMAND]),
+        ((F.col("Currency") != "USD") & (F.col("CountryCode") != "C0"), [DEMAND, "Note", DATE, *reversed(KEYS)]),
+        ((F.col("Currency") != "USD") & (F.col("CountryCode") == "C0"), [DATE, *[k for k in KEYS if k != "CountryCode"], DEMAND]),
+    ]
+    paths = []
+    for which, columns in shapes:
+        paths.append(staging_path(spark, "demand"))
+        write_table(rows.where(which).withColumn("Note", F.lit('a, "b"')).select(*columns), paths[-1])
+    back = read_demand(spark, paths[:2]).select(*KEYS, DATE, DEMAND).unionByName(
+        read_demand(spark, paths[2], country="C0").select(*KEYS, DATE, DEMAND)
+    )
+    return rounded(back, 4)
+
+
+POLICY_STEPS = (("raise", 1.0), ("skip", 2.0), ("overwrite", 3.0), ("skip", 4.0))
+
+
+@query(
+    "write_policies",
+    sql("dd", f"""select step, policy, {K}, EffectiveDate, round(Demand * f, 2) as Demand from dd,
+        (values (0, 'raise', 1.0::double), (1, 'skip', 1.0::double), (2, 'overwrite', 3.0::double), (3, 'skip', 3.0::double)) t(step, policy, f)"""),
+)
+def _(spark, sf):
+    """What a table holds after each of a row of writes to it; skip leaves what is there."""
+    rows = staged(demand_daily(spark, sf), "rows")
+    path, seen = staging_path(spark, "written"), []
+    for step, (policy, factor) in enumerate(POLICY_STEPS):
+        write_table(rows.withColumn(DEMAND, F.col(DEMAND) * factor), path, policy, "parquet")
+        held = spark.read.parquet(path).select(F.lit(step).alias("step"), F.lit(policy).alias("policy"), *KEYS, DATE, DEMAND)
+        seen.append(staged(held, "held"))
+    return rounded(reduce(DataFrame.unionByName, seen), 2)
+
+
 @query("template_read", sql("dd", f"select distinct {K} from dd"))
 def _(spark, sf):
     path = staging_path(spark, "template")

@@ -76,6 +76,22 @@ def _(spark, sf):
     )
 
 
+@query(
+    "parse_date_formats",
+    """select l_orderkey, l_linenumber, case when l_linenumber % 4 <> 3 then cast(l_shipdate as date) end as EffectiveDate
+        from lineitem""",
+)
+def _(spark, sf):
+    day = F.col("l_shipdate")
+    # Two formats tried in order, then ISO; the last is none of them.
+    text = F.when(F.col("l_linenumber") % 4 == 0, F.date_format(day, "dd/MM/yyyy")).when(
+        F.col("l_linenumber") % 4 == 1, F.date_format(day, "yyyyMMdd")
+    ).when(F.col("l_linenumber") % 4 == 2, F.date_format(day, "yyyy-MM-dd")).otherwise(F.date_format(day, "MMM d, yyyy"))
+    return table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", to_day(text, ("dd/MM/yyyy", "yyyyMMdd")).alias(DATE)
+    )
+
+
 def _as_text(df):
     """Demand as an export would hold it: padded, quoted, with commas; failures on Fridays."""
     shown = F.concat(F.lit('  "'), F.format_number(DEMAND, 2), F.lit('" '))
