@@ -43,9 +43,13 @@ def normal_quantile(p: np.ndarray) -> np.ndarray:
     return out
 
 
-def scores(first: int, count: int, n: int) -> np.ndarray:
-    """Blom's normal scores of ``count`` ranks from ``first`` (0 is the lowest) of ``n``."""
-    return normal_quantile((np.arange(first, first + count) + 1.0 - RANK_SHIFT) / (n + COUNT_SHIFT))
+def scores(first: np.ndarray, count: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Blom's normal scores of runs of ranks, laid end to end.
+
+    A run has ``count`` ranks from ``first`` on (0 is the lowest), of a sample of ``n``.
+    """
+    within = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    return normal_quantile((np.repeat(first, count) + within + 1.0 - RANK_SHIFT) / (np.repeat(n, count) + COUNT_SHIFT))
 
 
 def quantile_sql(p: str) -> str:

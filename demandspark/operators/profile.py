@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -167,15 +168,19 @@ def shapiro_francia(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sums = [
-                (off * (m := scores(rank, count, n)).sum(), float(m @ m), off * off * count)
-                for n, off, rank, count in zip(*[batch.column(k).to_pylist() for k in ("n", "off", "rank", "count")])
-            ]
-            cross, square, spread = zip(*sums) if sums else ((), (), ())
-            yield pa.RecordBatch.from_pydict({
-                "column": batch.column("column"), "n": batch.column("n"), "cross": pa.array(cross, pa.float64()),
-                "square": pa.array(square, pa.float64()), "spread": pa.array(spread, pa.float64()),
-            })
+            n, off, rank, count = (batch.column(k).to_numpy() for k in ("n", "off", "rank", "count"))
+            group = np.cumsum(count) // (4 * _RUN)  # values whose ranks are laid out together
+            for some in np.split(np.arange(len(n)), np.flatnonzero(np.diff(group)) + 1):
+                if not len(some):
+                    continue
+                size = count[some]
+                m = scores(rank[some], size, n[some])
+                first = np.cumsum(size) - size
+                yield pa.RecordBatch.from_pydict({
+                    "column": batch.column("column").take(pa.array(some)), "n": pa.array(n[some], pa.int64()),
+                    "cross": pa.array(off[some] * np.add.reduceat(m, first)),
+                    "square": pa.array(np.add.reduceat(m * m, first)), "spread": pa.array(off[some] ** 2 * size),
+                })
 
     parts = ranked.mapInArrow(scored, "column string, n long, cross double, square double, spread double")
     w = F.when(F.sum("spread") > 0, F.pow(F.sum("cross"), 2) / (F.sum("square") * F.sum("spread")))
