@@ -13,6 +13,7 @@ from demandspark.forecasters import (
     candidate_errors, iterative_forecast, select_candidate,
 )
 from demandspark.forecasters.iterative import point_forecast_column
+from demandspark.forecasters.race import candidate_race
 from demandspark.operators.evaluate import holdout_accuracy
 from demandspark.operators.grid import (
     all_origins, latest_origin, origin_grid, step_grid, with_forecast_day, with_horizon,
@@ -127,6 +128,15 @@ def _(spark, sf):
     return rounded(select_candidate(candidate_errors(staged(events_daily(spark, sf), "history"), CANDIDATES), SPEC), 4)
 
 
+@query(
+    "candidate_race",
+    sql("ed ed_grid wq", f"""select {K}, candidate, round(rmse, 4) as rmse from e where rmse is not null
+        qualify row_number() over (partition by {K} order by rmse, candidate) = 1""", **ERRORS),
+)
+def _(spark, sf):
+    return rounded(candidate_race(staged(events_daily(spark, sf), "history"), CANDIDATES).winners, 4)
+
+
 @query(
     "forecast_long",
     sql("ed ed_grid wq fl", f"select {K}, EffectiveDate, ForecastDate, {ROUND_Q}, ForecastDay from fl"),
