@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,47 +19,68 @@ from demandspark.spec import BRANCH, COUNTRY, CURRENCY, DATE, DEMAND, PRODUCT, S
 WRITE_POLICIES = {"skip": "ignore", "raise": "errorifexists", "overwrite": "overwrite"}
 
 
-def _files(spark: SparkSession, paths: str | Sequence[str]) -> dict[str, list[str]]:
-    """Files under each path; only names are read."""
-    listed = [paths] if isinstance(paths, str) else list(paths)
-    return {
-        p: [r.path for r in spark.read.format("binaryFile").load(p).select("path").distinct().collect()] for p in listed
-    }
-
-
 def partition_names(files: Sequence[str]) -> list[str]:
     """Names of the ``name=value`` folders on the way to ``files``, outermost first."""
     return list(dict.fromkeys(x.split("=", 1)[0] for f in files for x in f.split("/")[:-1] if "=" in x))
 
 
-def read_text_columns(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Header CSV with every column as text, partition folders included.
+def _headers(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, str]]:
+    """(file, first line) of every file that has one, found in one job whatever their number.
 
-    Columns are matched by name: each file is read by its own header. Files with equal
-    headers are one scan; a file that lacks a column has nulls there.
+    The tasks that own the beginning of a file find its first line: rows of a task come in
+    file order, so that is the line with the smallest id.
     """
+    lines = spark.read.option("recursiveFileLookup", True).text(list(paths))
+    meta = lines.metadataColumn("_metadata")
+    first = lines.select(
+        meta["file_path"].alias("file"), meta["file_block_start"].alias("start"), "value", F.monotonically_increasing_id().alias("id")
+    ).where("start = 0")
+    found = first.groupBy("file").agg(F.min_by("value", "id").alias("line")).collect()
+    return sorted((unquote(r.file), r.line) for r in found)  # the scan needs the names on the driver
 
-    def header(file: str) -> tuple[str, ...]:
-        line = spark.read.text(file).head()
-        return () if line is None else tuple(_header_fields(line.value))
 
+def _base(file: str) -> str:
+    """The folder that holds the outermost ``name=value`` folder of ``file``."""
+    parts = file.split("/")[:-1]
+    return "/".join(parts[: next(i for i, x in enumerate(parts) if "=" in x)])
+
+
+def read_text_columns(
+    spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] | None = None
+) -> DataFrame:
+    """Header CSV with every column as text, partition folders included.
+
+    Columns are matched by name: each file is read by its own header. Files with equal
+    headers are one scan; a file that lacks a column has nulls there. Folders are read with
+    all files below them.
+
+    The headers cost one pass over the lines. ``columns`` saves it where all files have that
+    header; reading a file with another one fails.
+    """
+    listed = [paths] if isinstance(paths, str) else list(paths)
+    if columns is not None:
+        files = spark.read.text(listed).inputFiles()
+        return _scan(spark, columns, partition_names(files), listed)
     scans: dict[tuple, list[str]] = {}
-    listed = _files(spark, paths)
-    with ThreadPoolExecutor(16) as pool:  # one line of each file
-        for base, files in listed.items():
-            for file, columns in zip(files, pool.map(header, files)):
-                if columns:
-                    scans.setdefault((base, columns, *partition_names([file])), []).append(file)
-    frames = []
-    for (base, columns, *folders), files in scans.items():
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, *folders]])
-        reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False)
-        frames.append((reader.option("basePath", base) if folders else reader).csv(files))
+    for file, line in _headers(spark, listed):
+        folders = partition_names([file])
+        base = _base(file) if folders else None
+        if header := tuple(_header_fields(line)):
+            scans.setdefault((header, base, *folders), []).append(file)
+    frames = [_scan(spark, header, folders, files, base) for (header, base, *folders), files in scans.items()]
     if not frames:
-        return spark.read.option("header", True).csv([paths] if isinstance(paths, str) else list(paths))
+        return spark.read.option("header", True).csv(listed)
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def _scan(
+    spark: SparkSession, columns: Sequence[str], folders: Sequence[str], paths: Sequence[str], base: str | None = None
+) -> DataFrame:
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, *folders]])
+    reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+    return (reader.option("basePath", base) if base else reader).csv(list(paths))
+
+
 def _header_fields(line: str) -> list[str]:
     return next(csv.reader([line.removeprefix("\ufeff")]))
 
@@ -83,15 +104,17 @@ def read_demand(
     country: str | None = None,
     country_from_file: bool = False,
     date_formats: Sequence[str] = (),
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Demand rows of one or many files; keys as text, dates as days, demand as double.
 
     Files of one country that do not name it get it from ``country``, or from their file
     name up to its first dot or underscore (``country_from_file``). ``date_formats`` are
     tried in order before ISO dates. A cell that does not parse becomes null, so
-    ``assert_no_nulls`` reports it.
+    ``assert_no_nulls`` reports it. ``columns`` is the header of all files, if known: it
+    saves the pass over their lines that finds it.
     """
-    df = read_text_columns(spark, paths) if fmt == "csv" else _read_text_keys(spark, paths, fmt)
+    df = read_text_columns(spark, paths, columns) if fmt == "csv" else _read_text_keys(spark, paths, fmt)
     require_columns(df, required)
     if COUNTRY not in df.columns and (country is not None or country_from_file):
         name = F.element_at(F.split(F.input_file_name(), "/"), -1)

@@ -56,6 +56,31 @@ def test_columns_are_matched_by_name_over_files(spark, tmp_path):
     assert rows(one, "CountryCode", "EffectiveDate") == [("ZA", date(2023, 2, 1))]
 
 
+def test_headers_of_many_files_are_one_job(spark, tmp_path):
+    for i in range(150):
+        columns = ["ProductId", "BranchId", "CountryCode", "Currency", "EffectiveDate", "Demand"]
+        cells = [str(i), "011", "ZM", "USD", "2024-01-01", str(i)]
+        turn = i % 3  # three different headers
+        lines = [",".join(columns[turn:] + columns[:turn]), ",".join(cells[turn:] + cells[:turn])]
+        (tmp_path / f"part {i}.csv").write_text("\n".join(lines) + "\n")
+    (tmp_path / "empty.csv").write_text("")
+    context = spark.sparkContext
+    context.setJobGroup("headers", "one job for all headers")
+    df = read_demand(spark, str(tmp_path))
+    jobs = len(context.statusTracker().getJobIdsForGroup("headers"))
+    context.setJobGroup("rest", "")
+    assert jobs <= 2 + 3  # the headers' two stages, and a listing for each kind of header
+    assert rows(df, "ProductId", "BranchId", "Demand") == sorted((str(i), "011", float(i)) for i in range(150))
+
+
+def test_a_known_header_saves_the_pass_and_is_checked(spark, tmp_path):
+    (tmp_path / "ZM.csv").write_text(CSV)
+    header = CSV.split("\n")[0].split(",")
+    assert read_demand(spark, str(tmp_path), columns=header).count() == 3
+    with pytest.raises(Exception, match="header"):
+        read_demand(spark, str(tmp_path), columns=header[::-1]).collect()
+
+
 @pytest.mark.parametrize("fmt", ["csv", "parquet"])
 def test_folder_keys_stay_text(spark, tmp_path, fmt):
     df = demand(spark, {A: [1]}).withColumn("CountryCode", F.lit("012"))
