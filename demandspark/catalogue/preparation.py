@@ -12,6 +12,7 @@ from demandspark.functions.columns import (
     strip_quotes, strip_thousands, to_day, to_number, unlog_demand,
 )
 from demandspark.operators.grid import all_origins, origin_batches
+from demandspark.operators.holidays import RULES_SCHEMA, holiday_calendar
 from demandspark.operators.prepare import (
     add_calendar, add_missing_columns, date_range, demand_signs, flag_holidays, keep_one,
     log_transform, prefix_keys, prepare_demand, project, repair_nonpositive, series_template,
@@ -289,6 +290,54 @@ def _(spark, sf):
     return flag_holidays(events_daily(spark, sf), days.withColumn("date", F.col("date").cast("date")))
 
 
+# The rules of the query's calendar, the same for every country of the data.
+RULES = [
+    ("New Year", "fixed", 1, 1, None, None, "nearest"),
+    ("Leap day", "fixed", 2, 29, None, None, "none"),
+    ("Good Friday", "easter", None, -2, None, None, "none"),
+    ("Easter Monday", "easter", None, 1, None, None, "none"),
+    ("Heroes", "weekday", 7, None, 1, 1, "none"),
+    ("Last Thursday", "weekday", 11, None, 4, -1, "none"),
+    ("Christmas", "fixed", 12, 25, None, None, "monday"),
+]
+RULE_FIELDS = [f.split() for f in RULES_SCHEMA.split(", ")[1:]]
+# Full moons of the 19 golden numbers as days after 21 March, valid from 1900 to 2199.
+MOONS = "[24, 13, 2, 21, 10, 28, 18, 7, 26, 15, 4, 23, 12, 1, 20, 9, 27, 17, 6]"
+
+
+@query(
+    "holiday_calendar",
+    sql("dd", """select c.CountryCode, h.holiday, h.date, h.actual, count(dd.Demand) as n_rows, round(sum(dd.Demand), 2) as demand
+        from (select distinct CountryCode from dd) c cross join h
+        left join dd on dd.CountryCode = c.CountryCode and dd.EffectiveDate = h.date
+        group by all""",
+        span="select unnest(range(min(year(EffectiveDate)), max(year(EffectiveDate)) + 1)) as y from dd",
+        days="select cast(d as date) as d from (select unnest(generate_series(make_date(min(y), 1, 1), make_date(max(y), 12, 31), interval 1 day)) as d from span)",
+        easter=f"""select y, (select min(d) from days where isodow(d) = 7
+            and d > make_date(y, 3, 21) + cast({MOONS}[(y % 19) + 1] as integer)) as e from span""",
+        h="""select 'New Year' as holiday, make_date(y, 1, 1) as actual, make_date(y, 1, 1)
+                + case isodow(make_date(y, 1, 1)) when 6 then -1 when 7 then 1 else 0 end as date from span
+            union all select 'Leap day', d, d from days where month(d) = 2 and day(d) = 29
+            union all select 'Good Friday', e - 2, e - 2 from easter
+            union all select 'Easter Monday', e + 1, e + 1 from easter
+            union all select 'Heroes', min(d), min(d) from days where month(d) = 7 and isodow(d) = 1 group by year(d)
+            union all select 'Last Thursday', max(d), max(d) from days where month(d) = 11 and isodow(d) = 4 group by year(d)
+            union all select 'Christmas', make_date(y, 12, 25), make_date(y, 12, 25)
+                + case isodow(make_date(y, 12, 25)) when 6 then 2 when 7 then 1 else 0 end from span"""),
+)
+def _(spark, sf):
+    """Demand of each country on the days its rules make holidays, over the years of the data."""
+    dd = staged(demand_daily(spark, sf), "history")
+    years = dd.agg(F.min(F.year(DATE)), F.max(F.year(DATE))).first()
+    per_country = F.explode(F.array(*[F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(r, RULE_FIELDS)]) for r in RULES]))
+    rules = dd.select(COUNTRY).distinct().select(COUNTRY, per_country.alias("r")).select(COUNTRY, "r.*")
+    calendar = holiday_calendar(rules, *years)
+    on_day = dd.select(COUNTRY, F.col(DATE).alias("date"), DEMAND)
+    return calendar.join(on_day, [COUNTRY, "date"], "left").groupBy(COUNTRY, "holiday", "date", "actual").agg(
+        F.count(DEMAND).alias("n_rows"), F.round(F.sum(DEMAND), 2).alias("demand")
+    )
+
+
 @query(
     "first_rows",
     sql("dd", f"select {K}, EffectiveDate, Demand from dd order by {K}, EffectiveDate limit 5"),
