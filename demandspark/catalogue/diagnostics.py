@@ -9,7 +9,7 @@ from demandspark.catalogue.fixtures import (
 )
 from demandspark.catalogue.registry import query, rounded
 from demandspark.operators.diagnose import (
-    autocorrelation, branch_patterns, consistency_steps, forecast_consistency, iqr_outliers,
+    autocorrelation, branch_patterns, consistency_steps, forecast_consistency, hampel_outliers, iqr_outliers,
     outlier_report, outliers_by_weekday, seasonal_patterns, valid_combinations,
 )
 from demandspark.operators.prepare import series_template
@@ -55,6 +55,19 @@ def _(spark, sf):
     return outliers_by_weekday(demand_daily(spark, sf), SPEC)
 
 
+@query(
+    "hampel_outliers",
+    sql("dd", f"""select {K}, EffectiveDate, round(Demand, 4) as Demand, round(m, 4) as moving_median, round(mad, 4) as moving_mad,
+        round(m - 3 * 1.4826::double * mad, 4) as lower, round(m + 3 * 1.4826::double * mad, 4) as upper
+        from (select *, list_aggregate(list_transform(near, lambda x: abs(x - m)), 'median') as mad from (
+            select *, median(Demand) over w as m, list(Demand) over w as near from dd
+            window w as (partition by {K} order by EffectiveDate rows between 7 preceding and 7 following)))
+        where Demand < m - 3 * 1.4826::double * mad or Demand > m + 3 * 1.4826::double * mad"""),
+)
+def _(spark, sf):
+    return rounded(hampel_outliers(demand_daily(spark, sf), spec=SPEC), 4)
+
+
 CONSISTENCY = f"""select {K}, EffectiveDate, count(*) as n_forecasts, round(stddev_samp(p50), 4) as p50_std,
     round(max(p50) - min(p50), 4) as p50_range,
     count(distinct p50) + max(case when p50 is null then 1 else 0 end) as n_values

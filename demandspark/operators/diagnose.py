@@ -12,7 +12,7 @@ from operator import and_
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandspark.functions.columns import weekday_name
+from demandspark.functions.columns import interpolated, weekday_name
 from demandspark.functions.stats import guarded_corr
 from demandspark.spec import (
     BRANCH, DATE, DEMAND, FORECAST_STEP, WEEKDAY, ForecastSpec,
@@ -23,6 +23,8 @@ from demandspark.staging import staged
 IQR_FACTOR = 1.5
 STRONG_CORRELATION = 0.7
 NORMAL_95 = 1.96
+# Standard deviations of a normal sample for one median absolute deviation.
+MAD_TO_STD = 1.4826
 
 
 def with_iqr_bounds(history: DataFrame, spec: ForecastSpec = ForecastSpec()) -> DataFrame:
@@ -72,6 +74,35 @@ def outliers_by_weekday(history: DataFrame, spec: ForecastSpec = ForecastSpec())
     )
 
 
+def with_moving_bounds(
+    history: DataFrame, reach: int = 7, factor: float = 3.0, spec: ForecastSpec = ForecastSpec()
+) -> DataFrame:
+    """``moving_median``, ``moving_mad`` and their bounds beside every row, from ``reach`` rows on each side.
+
+    The middle of the window follows the level of a series, where one bound for all of it
+    calls a whole season an outlier. A frame holds at most ``2 * reach + 1`` values, sorted
+    once; null demand is not among them.
+    """
+    near = Window.partitionBy(*spec.keys).orderBy(DATE).rowsBetween(-reach, reach)
+    median, mad = F.col("moving_median"), F.col("moving_mad")
+    away = F.array_sort(F.transform("_near", lambda x: F.abs(x - median)))
+    return (
+        history.withColumn("_near", F.array_sort(F.collect_list(F.col(DEMAND).cast("double")).over(near)))
+        .withColumn("moving_median", interpolated(F.col("_near"), 0.5))
+        .withColumn("_away", away)
+        .withColumn("moving_mad", interpolated(F.col("_away"), 0.5))
+        .withColumns({"lower": median - factor * MAD_TO_STD * mad, "upper": median + factor * MAD_TO_STD * mad})
+        .drop("_near", "_away")
+    )
+
+
+def hampel_outliers(
+    history: DataFrame, reach: int = 7, factor: float = 3.0, spec: ForecastSpec = ForecastSpec()
+) -> DataFrame:
+    """Rows strictly outside the bounds of their moving window."""
+    return with_moving_bounds(history, reach, factor, spec).where(_is_outlier())
+
+
 def forecast_consistency(evaluation: DataFrame, spec: ForecastSpec = ForecastSpec()) -> DataFrame:
     """Target dates whose middle forecasts differ between steps."""
     mid = F.col(spec.quantiles.mid)

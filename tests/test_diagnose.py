@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from demandspark.operators.diagnose import (
-    autocorrelation, branch_patterns, consistency_steps, forecast_consistency, iqr_outliers, outlier_report,
+    autocorrelation, branch_patterns, consistency_steps, forecast_consistency, hampel_outliers, iqr_outliers, outlier_report,
     outliers_by_weekday, seasonal_patterns, valid_combinations, with_day_lags,
 )
 from demandspark.plans.diagnosis import full_diagnosis, section_counts
@@ -106,3 +106,21 @@ def test_full_diagnosis_keeps_to_the_wanted_series(spark):
     assert counts["forecast"] == 7 and counts["forecast_consistency"] == 2
     # The share counts the branch's other series as well.
     assert sections["branch_patterns"].first().share == pytest.approx(106 / 109)
+
+
+def test_moving_bounds_follow_the_level(spark):
+    values = [10 * (i // 20) + i % 3 for i in range(60)]
+    values[30], values[5] = 25, None
+    history = demand(spark, {A: values, B: [7, 7, 7, 9, 7], C: [4]})
+    want = []
+    for key, series in ((A, values), (B, [7, 7, 7, 9, 7]), (C, [4])):
+        for i, v in enumerate(series):
+            near = [x for x in series[max(0, i - 4) : i + 5] if x is not None]
+            middle = float(np.median(near))
+            away = 3.0 * 1.4826 * float(np.median([abs(x - middle) for x in near]))
+            if v is not None and abs(v - middle) > away:
+                want.append((key[0], key[2], day(i), float(v), middle))
+    got = hampel_outliers(history, reach=4)
+    assert ("18", "ZM", day(30), 25.0, 11.0) in want and ("7", "ZM", day(3), 9.0, 7.0) in want
+    assert rows(got, "ProductId", "CountryCode", "EffectiveDate", "Demand", "moving_median") == sorted(want, key=str)
+    assert hampel_outliers(history.limit(0)).isEmpty()
