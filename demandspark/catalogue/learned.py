@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from demandspark.catalogue.fixtures import K, KEYS, SPEC, demand_daily, events_daily, sql
 from demandspark.catalogue.registry import query, rounded
-from demandspark.forecasters import TrailingQuantile
+from demandspark.forecasters import TrailingQuantile, backtest
+from demandspark.forecasters.conformal import widened_bands
 from demandspark.forecasters.state import advance, forecast_states, state_of
 from demandspark.functions.quantile_fit import fit_quantiles, pinball
 from demandspark.plans.reconciled import reconciled_forecast
-from demandspark.spec import DATE, DEMAND, TARGET_DATE
+from demandspark.spec import DATE, DEMAND, TARGET_DATE, ForecastSpec
 from demandspark.staging import staged
 
 LEVELS = SPEC.quantiles.probabilities
@@ -112,3 +113,43 @@ def _(spark, sf):
     state = staged(state_of(ed.where(day < first), SPEC), "states")
     state = staged(advance(state, ed.where((day >= first) & (day < second)), SPEC), "states")
     return rounded(forecast_states(advance(state, ed.where(day >= second), SPEC), SPEC), 4)
+
+
+CHAIN = f"{K}, EffectiveDate, ForecastDate"
+# One list of states a chain, a row at a time; a row uses the state known at its origin.
+TRACKED = f"""select {K}, cast(0 as bigint) as k, [0.0::double] as states, 0.0::double as total, 0.0::double as used
+    from (select distinct {K} from scored)
+    union all
+    select {', '.join('c.' + k for k in KEYS)}, c.k + 1, list_append(c.states, c.states[c.k + 1]
+            + case when r.s is null then 0.0::double else 0.25::double * (c.total + r.e) / r.seen
+                * (case when r.s > c.states[r.known + 1] then 1.0::double else 0.0::double end - (1.0::double - 0.8::double)) end),
+        c.total + coalesce(r.e, 0), c.states[r.known + 1]
+    from chain c join ranked r on {' and '.join(f'c.{k} = r.{k}' for k in KEYS)} and r.k = c.k + 1"""
+NEXT_DAY = ForecastSpec(horizon=1)
+
+
+@query(
+    "widened_bands",
+    sql("ed", f"""select {CHAIN}, round(case when p10 is not null then least(p10 - used, p50) end, 3) as p10, round(p50, 3) as p50,
+            round(case when p90 is not null then greatest(p90 + used, p50) end, 3) as p90, round(used, 3) as widen
+        from ranked join chain using ({K}, k)""",
+        recursive=True,
+        states=f"""select {K}, EffectiveDate, quantile_cont(Demand, 0.1) over w as p10,
+            quantile_cont(Demand, 0.5) over w as p50, quantile_cont(Demand, 0.9) over w as p90
+            from ed window w as (partition by {K} order by EffectiveDate rows between 27 preceding and current row)""",
+        grid=f"""select {K}, EffectiveDate, cast(EffectiveDate + 1 as date) as ForecastDate from (select distinct {K} from ed)
+            join (select distinct CountryCode, EffectiveDate from ed) using (CountryCode)""",
+        made=f"""select {', '.join('g.' + k for k in KEYS)}, g.EffectiveDate, g.ForecastDate, round(p10, 4) as p10, p50, round(p90, 4) as p90 from grid g
+            asof left join states h on {' and '.join(f'g.{k} = h.{k}' for k in KEYS)} and g.EffectiveDate >= h.EffectiveDate""",
+        scored=f"""select m.*, case when p10 is not null then greatest(p10 - Demand, Demand - p90) end as s,
+            case when p10 is not null then abs(Demand - p50) end as e
+            from made m left join (select {K}, EffectiveDate as ForecastDate, Demand from ed) a using ({K}, ForecastDate)""",
+        ranked=f"""select *, row_number() over w as k, count(s) over w as seen,
+                count(*) over (partition by {K} order by ForecastDate range between unbounded preceding and interval 1 day preceding) as known
+            from scored window w as (partition by {K} order by ForecastDate)""",
+        chain=TRACKED),
+)
+def _(spark, sf):
+    ed = staged(events_daily(spark, sf), "history")
+    scored = rounded(backtest(ed, TrailingQuantile(NEXT_DAY)), 4)
+    return rounded(widened_bands(scored, ed, 0.8, NEXT_DAY).select(*KEYS, DATE, TARGET_DATE, *SPEC.quantiles.names, "widen"), 3)
