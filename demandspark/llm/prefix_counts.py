@@ -3,10 +3,12 @@
 For a pre-token, the encoding of its prefix of k bytes ends in exactly one token t for
 which (last token of the prefix k - len(t), t) is a pair that merging leaves alone; so the
 counts of all prefixes follow from left to right, each from an earlier one. These arrays
-are cached by pre-token. A text's counts are running sums over its pre-tokens, and the
-count at any prefix is one look-up: budgets and truncation need no second encoding.
+are cached by pre-token. A text's counts are running sums over its pre-tokens.
 
-``prefix_table`` is a narrow stage without a shuffle.
+``prefix_store`` writes the count of every prefix, in compressed blocks. ``truncate_stored`` and
+``count_at`` answer budget and truncation questions from that table, reading one block a text
+and neither the text nor the vocabulary. ``prefix_table`` holds the counts at pre-token ends
+only, which is enough for whole texts. All are narrow stages without a shuffle.
 
 Defined cases: null text counts as empty (0 tokens); other columns pass as they are, null
 or repeated; a column of a new column's name is replaced; an empty table gives an empty table. The string of an added special token is
@@ -16,16 +18,19 @@ that one token, as the library has it by default.
 from __future__ import annotations
 
 import json
+import zlib
 from functools import lru_cache
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandspark.llm.common import Cache, table, text_stage
 from demandspark.llm.pretokens import is_blank, split
 from demandspark.llm.registry import query
 
+# Prefixes in one stored block.
+BLOCK = 4096
 CACHE_ENTRIES = 300_000
 _CACHED_CHARS = 64
 
@@ -220,24 +225,89 @@ def tokens(totals: str = "totals"):
     return F.when(F.size(totals) > 0, F.element_at(totals, -1)).otherwise(0).cast("long")
 
 
-def truncate(docs: DataFrame, path: str, limit: int, text: str = "text") -> DataFrame:
-    """``docs`` with ``kept_chars`` and ``kept_tokens``: the longest prefix within ``limit`` tokens."""
+def pack_counts(counts: np.ndarray) -> list[dict]:
+    """Blocks of at most BLOCK counts: the least of them, and the first with the compressed steps from it.
+
+    A step is mostly 0 or 1; a block with one beyond a byte has four bytes a step.
+    """
+    blocks = []
+    for at in range(0, len(counts), BLOCK):
+        part = counts[at : at + BLOCK]
+        steps = np.diff(part)
+        small = not len(steps) or -128 <= steps.min() and steps.max() < 128
+        raw = np.int32(part[0]).tobytes() + zlib.compress(steps.astype("<i1" if small else "<i4").tobytes(), 1)
+        blocks.append({"least": int(part.min()), "counts": (b"\1" if small else b"\4") + raw})
+    return blocks
+
+
+def unpack_counts(block: bytes) -> np.ndarray:
+    """The counts of one block."""
+    steps = np.frombuffer(zlib.decompress(block[5:]), "<i1" if block[0] == 1 else "<i4")
+    first = int.from_bytes(block[1:5], "little", signed=True)
+    return np.concatenate([[first], first + np.cumsum(steps, dtype=np.int64)])
+
+
+def prefix_store(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """The columns of ``docs`` but ``text``, with ``blocks``: the exact token count of every prefix.
+
+    A text of n code points has n + 1 prefixes, the empty one first.
+    """
 
     def make():
         counter = PrefixCounter(path)
+        return lambda texts: {"blocks": [pack_counts(counter.every(t or "")) for t in texts]}
 
-        def longest(t):
-            counts = counter.every(t or "")
-            k = int(np.flatnonzero(counts <= limit)[-1])
-            return k, int(counts[k])
+    return text_stage(docs, text, "blocks array<struct<least: int, counts: binary>>", make)
 
-        def work(texts):
-            kept = [longest(t) for t in texts]
-            return {"kept_chars": [k for k, _ in kept], "kept_tokens": [c for _, c in kept]}
+
+def truncate_stored(stored: DataFrame, limit: int) -> DataFrame:
+    """The columns of a stored table but ``blocks``, with ``kept_chars`` and ``kept_tokens``.
+
+    They tell the longest prefix of at most ``limit`` tokens. A longer prefix may have fewer tokens
+    than a shorter one, so the last block with a count within the limit is the one to read.
+    """
+    if limit < 0:
+        raise ValueError("a prefix has no fewer than 0 tokens")
+    number = F.array_max(F.transform("blocks", lambda b, i: F.when(b["least"] <= limit, i)))
+    found = stored.withColumn("kept_chars", number.cast("long") * BLOCK).withColumn("_counts", F.get("blocks", number)["counts"])
+
+    def make():
+        def work(blocks):
+            counts = [unpack_counts(b) for b in blocks]
+            last = [int(np.flatnonzero(c <= limit)[-1]) for c in counts]
+            return {"_offset": last, "kept_tokens": [int(c[k]) for c, k in zip(counts, last)]}
 
         return work
 
-    return text_stage(docs, text, "kept_chars long, kept_tokens long", make)
+    read = text_stage(found.drop("blocks"), "_counts", "_offset long, kept_tokens long", make)
+    return read.withColumn("kept_chars", F.col("kept_chars") + F.col("_offset")).drop("_offset")
+
+
+def count_at(stored: DataFrame, position: Column, name: str = "tokens_at") -> DataFrame:
+    """The columns of a stored table but ``blocks``, with the token count of the prefix of ``position`` code points.
+
+    A position beyond the text is its end, one below 0 its start; a null one has a null count.
+    """
+    at = F.greatest(position.cast("long"), F.lit(0).cast("long"))
+    block = F.least(F.floor(at / BLOCK), F.size("blocks") - 1).cast("int")
+    offset = F.least(at - block * F.lit(BLOCK), F.lit(BLOCK).cast("long"))
+    asked = F.when(position.isNotNull(), F.concat(F.unhex(F.lpad(F.hex(offset), 8, "0")), F.get("blocks", block)["counts"]))
+
+    def make():
+        def one(payload):
+            if payload is None:
+                return None
+            counts = unpack_counts(payload[4:])
+            return int(counts[min(int.from_bytes(payload[:4], "big"), len(counts) - 1)])
+
+        return lambda payloads: {name: [one(p) for p in payloads]}
+
+    return text_stage(stored.withColumn("_asked", asked).drop("blocks"), "_asked", f"`{name}` long", make)
+
+
+def truncate(docs: DataFrame, path: str, limit: int, text: str = "text") -> DataFrame:
+    """``docs`` but ``text`` with ``kept_chars`` and ``kept_tokens``: the longest prefix within ``limit`` tokens."""
+    return truncate_stored(prefix_store(docs, path, text), limit)
 
 
 @query("op7_token_counts")

@@ -6,6 +6,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from demandspark.llm import byte_bpe, prefix_counts
@@ -90,6 +91,39 @@ def test_truncation_keeps_the_longest_prefix_within_the_limit(spark, odd):
         assert row["kept_chars"] == max(k for k, c in enumerate(counts) if c <= 20)
 
 
+def test_blocks_give_every_count_back():
+    rng = random.Random(7)
+    for n in (1, 2, prefix_counts.BLOCK, prefix_counts.BLOCK + 1, 3 * prefix_counts.BLOCK):
+        for reach in (1, 300):  # steps of one byte, and of four
+            counts = np.cumsum([0, *(rng.randrange(-reach, reach + 1) for _ in range(n - 1))])
+            blocks = prefix_counts.pack_counts(counts)
+            assert np.concatenate([prefix_counts.unpack_counts(b["counts"]) for b in blocks]).tolist() == counts.tolist()
+
+
+def test_budgets_are_answered_from_the_stored_table(spark, tmp_path):
+    rng = random.Random(3)
+    long = "".join(rng.choice(ALPHABET) for _ in range(2 * prefix_counts.BLOCK))
+    texts = [long, None, "", "x", " " * 5000 + "word", "<|endoftext|>" * 700, *random_texts(40, seed=9)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    prefix_counts.prefix_store(docs, VOCABULARY).write.parquet(str(tmp_path / "stored"))
+    stored = spark.read.parquet(str(tmp_path / "stored"))  # no text and no vocabulary from here on
+    assert stored.columns == ["doc_id", "blocks"]
+    counter = prefix_counts.PrefixCounter(VOCABULARY)
+    every = {i: counter.every(t or "") for i, t in enumerate(texts)}
+    for limit in (0, 1, 20, 5000, 10**6):
+        for r in prefix_counts.truncate_stored(stored, limit).collect():
+            k = int(np.flatnonzero(every[r["doc_id"]] <= limit)[-1])
+            assert (r["kept_chars"], r["kept_tokens"]) == (k, every[r["doc_id"]][k])
+    for position in (-3, 0, 1, prefix_counts.BLOCK - 1, prefix_counts.BLOCK, prefix_counts.BLOCK + 1, 10**12):
+        for r in prefix_counts.count_at(stored, F.lit(position)).collect():
+            counts = every[r["doc_id"]]
+            assert r["tokens_at"] == counts[min(max(position, 0), len(counts) - 1)]
+    asked = F.when(F.col("doc_id") > 1, F.col("doc_id"))
+    assert prefix_counts.count_at(stored, asked, "n").where("n is null").count() == 2
+    with pytest.raises(ValueError):
+        prefix_counts.truncate_stored(stored, -1)
+
+
 def test_empty_table(spark, empty):
     assert byte_bpe.op5_byte_bpe(spark, empty).count() == 0
     assert prefix_counts.op7_token_counts(spark, empty).count() == 0
