@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from demandspark.functions.chains import alike, padded
 from demandspark.shipping import ship_package
 from demandspark.spec import DATE, DEMAND, TARGET_DATE, ForecastSpec
 
@@ -34,13 +35,6 @@ def _known_at(targets: list[np.ndarray], origins: list[np.ndarray]) -> np.ndarra
     return out
 
 
-def _padded(values: list[np.ndarray], width: int) -> np.ndarray:
-    out = np.full((len(values), width), np.nan)
-    for i, v in enumerate(values):
-        out[i, : len(v)] = v
-    return out
-
-
 def track(
     targets: list[np.ndarray], origins: list[np.ndarray], scores: list[np.ndarray], errors: list[np.ndarray],
     miss_rate: float, gamma: float = GAMMA,
@@ -53,7 +47,7 @@ def track(
     """
     known = _known_at(targets, origins)
     chains, width = known.shape
-    score, size = _padded(scores, width), _padded(errors, width)
+    score, size = padded(scores, width), padded(errors, width)
     state = np.zeros((chains, width + 1))  # after so many rows
     total, seen = np.zeros(chains), np.zeros(chains)
     used = np.zeros((chains, width))
@@ -103,8 +97,12 @@ def widened_bands(
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             numbers = [[np.asarray(x, float) for x in b[c]] for c in ("t", "o", "s", "e")]
-            used = track(*numbers, miss_rate, gamma)
-            yield b[kept].assign(**{WIDEN: [u[: len(t)] for u, t in zip(used, numbers[0])]})
+            widen: list = [None] * len(b)
+            for some in alike([len(t) for t in numbers[0]]):
+                used = track(*[[x[i] for i in some] for x in numbers], miss_rate, gamma)
+                for i, u in zip(some, used):
+                    widen[i] = u[: len(numbers[0][i])]
+            yield b[kept].assign(**{WIDEN: widen})
 
     ship_package(forecasts.sparkSession)
     tracked = chains.mapInPandas(run, schema)

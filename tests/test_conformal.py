@@ -5,6 +5,7 @@ import pytest
 
 from demandspark.forecasters import TrailingQuantile, backtest
 from demandspark.forecasters.conformal import widened_bands
+from demandspark.functions.chains import alike
 from demandspark.spec import ForecastSpec
 from tests.helpers import A, B, C, day, demand
 
@@ -69,3 +70,11 @@ def test_coverage_is_the_wanted_one(data, forecasts):
 def test_no_forecasts_no_bands(forecasts):
     history, plain = forecasts
     assert widened_bands(plain.limit(0), history, 0.8, SPEC).isEmpty()
+
+
+def test_chains_of_like_length_share_a_matrix():
+    lengths = [5, 1, 900, 3, 3, 40, 7, 900]
+    parts = list(alike(lengths, cells=100))
+    assert sorted(i for p in parts for i in p) == list(range(len(lengths)))
+    for p in parts:
+        assert len(p) == 1 or len(p) * max(lengths[i] for i in p) <= 100
