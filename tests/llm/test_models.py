@@ -60,6 +60,27 @@ def test_copied_findings_are_sampled_row_by_row(spark, monkeypatch):
     assert all(300 < seen[0].where(f"label = {y}").count() < 500 for y in (0, 1))
 
 
+def test_every_finding_is_learnt_from(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(secrets, "arrow_stage", lambda rows, run, schema: seen.append(rows) or rows.limit(0))
+    rules = [bytearray(b"\1" * 40)] * 3000 + [bytearray(bytes([2 + i % 90]) * (500 + i)) for i in range(3000)]  # copies, and long ones
+    secrets.train(known_findings(spark, rules, [bytearray(b"\5" * 40 + i.to_bytes(2, "big")) for i in range(6000)]))
+    taken = Counter((bytes(r["w"]), r["label"]) for r in seen[0].select("w", "label").collect())
+    assert taken.total() == 12_000 and taken[b"\1" * 40, 1] == 3000
+    assert {bytes(w) for w in rules} == {w for w, label in taken if label}
+
+
+def test_copied_findings_are_dealt_and_set_aside_one_by_one(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(secrets, "arrow_stage", lambda rows, run, schema: seen.append(rows) or rows.limit(0))
+    monkeypatch.setattr(secrets, "SHARD", 512)
+    secrets.train(known_findings(spark, [bytearray(b"\1" * 40)] * 6000, [bytearray(b"\5" * 40 + i.to_bytes(2, "big")) for i in range(6000)]))
+    rows = seen[0].where("label = 1").select("shard", "aside").collect()
+    shards = Counter(r["shard"] for r in rows)
+    assert len(shards) == 18 and max(shards.values()) <= min(shards.values()) + 1
+    assert Counter(r["aside"] for r in rows) == {True: 1500, False: 4500}
+
+
 def test_language_of_odd_rows(spark, odd, odd_documents, empty):
     rows = language_id.op9_language_id(spark, odd).collect()
     assert len(rows) == len(odd_documents)
@@ -161,6 +182,83 @@ def test_the_recall_alone_sets_the_threshold(spark):
     assert 0.2 < net.threshold < 0.8
 
 
+def examples(n, seed):
+    """Windows of keys behind a keyword and of addresses, every third one twice, some of them long."""
+    rng = np.random.default_rng(seed)
+    key = lambda k: "".join(rng.choice(list("abcdef0123456789"), k))
+
+    def window(text):
+        m = re.search(r"[A-Za-z0-9+/_.=-]{16,}", text)
+        return bytearray(symbols(text, m.start(), m.end(), secrets.CONTEXT).tobytes())
+
+    rules = [window(f'the river token = "{key(600 if i % 10 == 0 else 30)}" and') for i in range(n)]
+    others = [window(f"write to that.{key(4)}{i}@mail2.example.com for it") for i in range(n)]
+    return [w[i - i % 3 // 2] for w in (rules, others) for i in range(n)]
+
+
+def test_scale_and_threshold_come_from_all_set_aside(spark):
+    both = examples(2400, 6)
+    rules, others = both[:2400], both[2400:]
+    net = secrets.train(known_findings(spark, rules, others))
+    rows = spark.createDataFrame([(w, y) for y, x in ((1, rules), (0, others)) for w in x], "w binary, label int")
+    turns = rows.selectExpr("w", "label", f"pmod(xxhash64('aside', w, label), {secrets.ASIDE}) as turn").collect()
+    copies, aside = Counter(), []
+    for r in turns:
+        key = bytes(r["w"]), r["label"]
+        if (r["turn"] + copies[key]) % secrets.ASIDE == 0:
+            aside.append(key)
+        copies[key] += 1
+    assert 1080 < len(aside) < 1320
+    by_hand = CharCnn().load(net.state())
+    by_hand.calibrate([np.frombuffer(w, np.uint8) for w, _ in aside], np.array([y for _, y in aside], float), secrets.RECALL)
+    assert np.allclose([net.slope, net.offset, net.threshold], [by_hand.slope, by_hand.offset, by_hand.threshold], rtol=1e-9)
+    score = lambda x: net.score([np.frombuffer(bytes(w), np.uint8) for w in x])
+    assert (score(rules) >= net.threshold).mean() > 0.95 and (score(others) >= net.threshold).mean() < 0.02
+
+
+def test_what_is_learnt_does_not_depend_on_the_place_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(secrets, "SHARD", 64)
+    both = examples(300, 7)
+    rules, others = both[:300], both[300:]
+    a = secrets.train(known_findings(spark, rules, others))
+    b = secrets.train(staged(known_findings(spark, rules[::-1], others[7:] + others[:7]).repartition(3), "other"))
+    assert (a.state() == b.state()).all() and np.allclose(a.threshold, b.threshold, rtol=1e-9)
+
+
+@pytest.mark.parametrize("yes, no", [(40, 4000), (4000, 40)])
+def test_a_rare_label_is_learnt(spark, yes, no):
+    both = examples(4000, 8)
+    rules, others = both[:yes], both[4000 : 4000 + no]
+    span = "array<struct<kind: int, start: long, stop: long, window: binary>>"
+    rows = [(0, i, [(0, 5, 25, w)], []) for i, w in enumerate(rules)] + [(1, i, [], [(3, 5, 25, w)]) for i, w in enumerate(others)]
+    net = secrets.train(staged(spark.createDataFrame(rows, f"_rf long, _ri long, rules {span}, others {span}"), "found"))
+    score = lambda x: net.score([np.frombuffer(bytes(w), np.uint8) for w in x])
+    assert (score(rules) >= net.threshold).mean() > 0.9 and (score(others) >= net.threshold).mean() < 0.02
+
+
+def test_ranks_are_exact(spark):
+    rng = np.random.default_rng(9)
+    x = np.concatenate([rng.normal(0, 1, 500), rng.normal(0, 1e-9, 500), [-1e6, 1e6, 0.0, 0.0]])
+    n = rng.integers(1, 5, len(x))
+    values = staged(spark.createDataFrame([(float(a), int(b)) for a, b in zip(x, n)], "x double, n long"), "values")
+    every = np.sort(np.repeat(x, n))
+    assert all(secrets._ranked(values, k) == every[k] for k in (0, 17, len(every) // 2, len(every) - 1))
+
+
+def test_the_score_of_a_window_is_its_own():
+    rng = np.random.default_rng(10)
+    windows = [rng.integers(1, 190, k).astype(np.uint8) for k in (3, 1, 40, 41, 70_000, 16_384, 16_385)]
+    net = CharCnn()
+    net.shift += 0.1
+    slow = []
+    for w in windows:
+        x = np.concatenate([[0, 0], w, [0, 0]]).astype(int)
+        values = sum(net.kernel[k][x[k : k + len(w)]] for k in range(5)).max(axis=0)
+        slow.append(float((np.maximum(values + net.shift, 0) * net.out).sum() + net.bias[0]))
+    assert np.allclose(net.raw(windows), slow, rtol=1e-12)
+    assert [float(net.raw([w])[0]) for w in windows] == net.raw(windows).tolist()
+
+
 def test_secrets_are_masked_and_others_left_alone(clashing, odd_documents):
     left = secrets.mask(clashing)
     assert left.columns == clashing.columns and left.schema == clashing.schema
